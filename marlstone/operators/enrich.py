@@ -47,22 +47,27 @@ ENRICHED = (
 
 def enrich(
     sales: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    regions: DataFrame,
+    customers: DataFrame | None = None,
+    products: DataFrame | None = None,
+    regions: DataFrame | None = None,
     *,
     processed_at=None,
     salt: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Sales LEFT JOIN the three dimensions, with the high-value flag.
+    """Sales LEFT JOIN the dimensions given, with the high-value flag.
 
-    Sales whose key is in no dimension keep NULLs. No join strategy is forced: a dimension that is
-    small enough is broadcast by its size, any other is shuffled and adaptive execution splits hot
-    keys. Name a key in `salt` (customer_id, say) to split its hot keys up front instead, which
-    costs one more pass over that column. `processed_at` adds the audit timestamp.
+    Sales whose key is in no dimension keep NULLs. Leave out a dimension whose columns the next
+    step does not use: nothing tells Spark that a dimension has one row per key, so it cannot drop
+    the join by itself. No join strategy is forced: a dimension that is small enough is broadcast
+    by its size, any other is shuffled and adaptive execution splits hot keys. Name a key in `salt`
+    (customer_id, say) to split its hot keys up front instead, which costs one more pass over that
+    column. `processed_at` adds the audit timestamp.
     """
-    df = sales
-    for dimension, table in ((CUSTOMER, customers), (PRODUCT, products), (REGION, regions)):
+    given = ((CUSTOMER, customers), (PRODUCT, products), (REGION, regions))
+    df = with_high_value_flag(sales)
+    for dimension, table in given:
+        if table is None:
+            continue
         looked_up = table.select(dimension.key, *dimension.columns)
         if dimension.key in salt:
             hot = hot_keys(sales, dimension.key)
@@ -71,11 +76,7 @@ def enrich(
             )
         else:
             df = df.join(looked_up, dimension.key, "left")
-    df = with_high_value_flag(df).select(*[c for c in ENRICHED if c in _available(df)])
+    df = df.select(*[c for c in ENRICHED if c in df.columns])
     if processed_at is not None:
         df = df.withColumn("_silver_processed_at", F.lit(processed_at))
     return df
-
-
-def _available(df: DataFrame) -> set[str]:
-    return {*df.columns, "is_high_value"}

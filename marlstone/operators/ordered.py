@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
+RANGES = 128
 _ACCURACY = 4096
 
 
@@ -96,11 +96,11 @@ def _range_from_quantiles(
             F.col(by),
         )
     # The first place of the value among limits and value, sorted, is one more than the number of
-    # limits below it.
+    # limits below it; it is NULL for a NULL value and where there are no limits. With a default
+    # the range is never NULL. Otherwise the join on it would put a null test of this expression
+    # below the counting, on every row.
     place = F.array_position(F.sort_array(F.array_append(found, F.col(value))), F.col(value))
-    return F.when(F.col(value).isNull() | found.isNull(), F.lit(-1)).otherwise(
-        place.cast("int") - 1
-    )
+    return F.coalesce(place.cast("int") - 1, F.lit(-1))
 
 
 def percent_rank_of(

@@ -31,14 +31,13 @@ def hint_for(
     return next((h for h in hints if h.hint in name), None)
 
 
-def matches(value: Column, pattern: Pattern, unicode: bool = True) -> Column:
-    """Whether the pattern occurs in the text.
+def occurs(value: Column, regex: str, unicode: bool = True, ignore_case: bool = False) -> Column:
+    """Whether the regex occurs anywhere in the text.
 
     `unicode` extends digits, blanks and word boundaries beyond ASCII.
     """
-    flags = ("i" if pattern.ignore_case else "") + ("U" if unicode else "")
-    found = value.rlike(f"(?{flags}){pattern.regex}" if flags else pattern.regex)
-    return value.contains(pattern.needs) & found if pattern.needs else found
+    flags = ("i" if ignore_case else "") + ("U" if unicode else "")
+    return value.rlike(f"(?{flags}){regex}" if flags else regex)
 
 
 def name_findings(
@@ -79,12 +78,30 @@ def _finding(database, table, column, pii_type, lgpd_class, confidence, rate) ->
 def _match_counts(
     df: DataFrame, columns: Sequence[str], patterns: Sequence[Pattern], unicode: bool
 ) -> DataFrame:
-    """One row: values per column and matches per column and pattern, from a single pass."""
-    return df.agg(
-        *[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(columns)],
+    """One row: values per column and matches per column and pattern, from a single pass.
+
+    What patterns need is looked for once per text, and a pattern only where it was found.
+    """
+    needs = sorted({p.needs for p in patterns if p.needs})
+    texts = df.select(*[F.col(f"`{c}`").alias(f"_t{i}") for i, c in enumerate(columns)])
+    marked = texts.select(
+        "*",
+        *[
+            occurs(F.col(f"_t{i}"), need, unicode).alias(f"_k{i}_{k}")
+            for i in range(len(columns))
+            for k, need in enumerate(needs)
+        ],
+    )
+
+    def hit(i: int, p: Pattern) -> Column:
+        found = occurs(F.col(f"_t{i}"), p.regex, unicode, p.ignore_case)
+        return F.col(f"_k{i}_{needs.index(p.needs)}") & found if p.needs else found
+
+    return marked.agg(
+        *[F.count(f"_t{i}").alias(f"_n{i}") for i in range(len(columns))],
         *[
-            F.count_if(matches(F.col(f"`{c}`"), p, unicode)).alias(f"_m{i}_{j}")
-            for i, c in enumerate(columns)
+            F.count_if(hit(i, p)).alias(f"_m{i}_{j}")
+            for i in range(len(columns))
             for j, p in enumerate(patterns)
         ],
     )

@@ -37,16 +37,18 @@ def percent_ranks(
     thin = df.unpivot(
         [key], [F.col(s.column).cast(value_type).alias(s.name) for s in specs], "_of", "_value"
     )
-    ranked = running_totals(value_counts(thin, "_value", by="_of"), "_value", by="_of")
     # A struct is never NULL itself and equals another with the same NULL inside, so rows without
     # a value find their rank too.
     pair = F.struct("_of", "_value")
-    ranked = ranked.withColumn("_pair", pair)
+    counted = value_counts(thin, "_value", by="_of")
+    ranked = running_totals(counted, "_value", by="_of").select(
+        pair.alias("_pair"), "n", "n_before", "n_total"
+    )
     found = salted_left_join(
         thin.select(key, "_of", pair.alias("_pair")),
-        ranked.select("_pair", "n", "n_before", "n_total"),
+        ranked,
         "_pair",
-        hot_of_counts(ranked, "_pair", "n"),
+        hot_of_counts(counted.select(pair.alias("_pair"), "n"), "_pair", "n"),
         spread_by=F.col(key),
     )
     ascending = {s.name: s.ascending for s in specs}

@@ -36,12 +36,17 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-def _enriched(spark, sf_dir) -> DataFrame:
-    return fixtures.enriched_sales(spark, sf_dir)
+def _enriched(spark, sf_dir, *dimensions: str) -> DataFrame:
+    """Enriched sales with just the dimensions a query draws on."""
+    return fixtures.enriched_sales(spark, sf_dir, dimensions)
 
 
 def _mart(spark, sf_dir) -> DataFrame:
-    return marts.sales_mart(_enriched(spark, sf_dir))
+    return marts.sales_mart(_enriched(spark, sf_dir, "products", "regions"))
+
+
+def _base(spark, sf_dir) -> DataFrame:
+    return features.customer_base(_enriched(spark, sf_dir, "customers", "products"), AS_OF)
 
 
 # --- sources and sinks -------------------------------------------------------------------------
@@ -302,7 +307,7 @@ def column_excluded_view(spark, sf_dir):
 
 @register("enriched_sales", with_ctes("select * from enriched", "enriched"))
 def enriched_sales(spark, sf_dir):
-    return _enriched(spark, sf_dir)
+    return fixtures.enriched_sales(spark, sf_dir)
 
 
 @register("enriched_sales_salted", with_ctes("select * from enriched", "enriched"))
@@ -378,7 +383,7 @@ order by units desc, revenue desc, product_name asc nulls last, category asc nul
     ),
 )
 def top10_products(spark, sf_dir):
-    return marts.top_products(_enriched(spark, sf_dir))
+    return marts.top_products(_enriched(spark, sf_dir, "products"))
 
 
 @register(
@@ -517,7 +522,7 @@ select customer_id, segment as customer_segment, state as customer_state from (
     ),
 )
 def customer_dim_latest(spark, sf_dir):
-    return cust.latest_profile(_enriched(spark, sf_dir))
+    return cust.latest_profile(_enriched(spark, sf_dir, "customers"))
 
 
 @register("customer_monetary", with_ctes(_MONETARY, "done"))
@@ -534,7 +539,7 @@ def customer_monetary(spark, sf_dir):
     ),
 )
 def distinct_categories(spark, sf_dir):
-    return cust.distinct_categories(_enriched(spark, sf_dir))
+    return cust.distinct_categories(_enriched(spark, sf_dir, "products"))
 
 
 @register(
@@ -587,9 +592,8 @@ def cancel_rate(spark, sf_dir):
 
 
 def _rfm_input(spark, sf_dir) -> DataFrame:
-    enriched = _enriched(spark, sf_dir)
     columns = ("customer_id", "days_since_purchase", "orders", "total_revenue")
-    return written(features.customer_base(enriched, AS_OF).select(*columns), "rfm-input")
+    return written(_base(spark, sf_dir).select(*columns), "rfm-input")
 
 
 @register(
@@ -609,7 +613,8 @@ def rfm_score(spark, sf_dir):
 
 
 def _features(spark, sf_dir, **options) -> DataFrame:
-    return features.customer_features(_enriched(spark, sf_dir), AS_OF, extracted_at=NOW, **options)
+    enriched = _enriched(spark, sf_dir, "customers", "products")
+    return features.customer_features(enriched, AS_OF, extracted_at=NOW, **options)
 
 
 _FEATURE_COLUMNS = ", ".join(features.FEATURES[:-1])
@@ -617,7 +622,7 @@ _FEATURE_COLUMNS = ", ".join(features.FEATURES[:-1])
 
 @register("customer_base", with_ctes("select * from base", "base"))
 def customer_base(spark, sf_dir):
-    return features.customer_base(_enriched(spark, sf_dir), AS_OF)
+    return _base(spark, sf_dir)
 
 
 @register("customer_features", with_ctes(f"select {_FEATURE_COLUMNS} from scored", "scored"))
@@ -692,7 +697,7 @@ def feature_summary(spark, sf_dir):
     ),
 )
 def label_rate(spark, sf_dir):
-    labelled = cust.with_churn_label(features.customer_base(_enriched(spark, sf_dir), AS_OF))
+    labelled = cust.with_churn_label(_base(spark, sf_dir))
     return evaluation.label_rate(labelled, "churn_label")
 
 
@@ -845,7 +850,7 @@ def _bronze_results(spark, sf_dir) -> DataFrame:
 
 def _silver_results(spark, sf_dir) -> DataFrame:
     return quality.run_suite(
-        {"enriched_sales": _enriched(spark, sf_dir)}, suites.SILVER, "silver"
+        {"enriched_sales": fixtures.enriched_sales(spark, sf_dir)}, suites.SILVER, "silver"
     )
 
 
@@ -895,7 +900,7 @@ def dq_evaluate(spark, sf_dir):
 )
 def dq_contract_models(spark, sf_dir):
     bronze = _bronze_tables(spark, sf_dir)
-    enriched = written(_enriched(spark, sf_dir), "enriched")
+    enriched = written(fixtures.enriched_sales(spark, sf_dir), "enriched")
     models = {
         **bronze,
         **{f"stg_{name}": df for name, df in bronze.items()},
@@ -1151,7 +1156,7 @@ select customer_id, churn_label, rn <= round(0.8 * total) as is_train from (
 
 @register("stratified_split", with_ctes(_SPLIT, "scored"))
 def stratified_split(spark, sf_dir):
-    labelled = cust.with_churn_label(features.customer_base(_enriched(spark, sf_dir), AS_OF))
+    labelled = cust.with_churn_label(_base(spark, sf_dir))
     chosen = written(labelled.select("customer_id", "churn_label"), "labelled")
     return evaluation.stratified_split(chosen, "customer_id", "churn_label")
 
@@ -1195,7 +1200,7 @@ def classification_report(spark, sf_dir):
 
 def _forecast(spark, sf_dir) -> DataFrame:
     """A guess from recent orders alone, in the place of a model's prediction."""
-    labelled = cust.with_churn_label(features.customer_base(_enriched(spark, sf_dir), AS_OF))
+    labelled = cust.with_churn_label(_base(spark, sf_dir))
     guess = (F.col("orders_per_month_6m") <= 1.0).cast("int")
     return labelled.withColumn("guess", guess)
 
@@ -1218,7 +1223,7 @@ from (
     ),
 )
 def roc_auc(spark, sf_dir):
-    labelled = cust.with_churn_label(features.customer_base(_enriched(spark, sf_dir), AS_OF))
+    labelled = cust.with_churn_label(_base(spark, sf_dir))
     scored = written(labelled.select("churn_label", "orders"), "scored")
     return evaluation.roc_auc(scored, "churn_label", "orders")
 

@@ -45,7 +45,7 @@ class Pattern(NamedTuple):
     regex: str
     lgpd_class: str
     ignore_case: bool = False
-    # Text without this literal cannot match, so the regex is skipped for it.
+    # A cheap regex that every match contains: text without it is not searched any further.
     needs: str | None = None
 
 
@@ -84,10 +84,12 @@ NAME_HINTS = (
     NameHint("impressao_digital", "DadoBiometrico", SENSITIVE),
 )
 
+_DIGITS = r"\d{3}"
+
 # Content patterns, first one above the match rate in this order wins.
 PATTERNS = (
-    Pattern("CPF", r"\b\d{3}\.?\d{3}\.?\d{3}-?\d{2}\b", PERSONAL),
-    Pattern("CNPJ", r"\b\d{2}\.?\d{3}\.?\d{3}[/\\]?\d{4}-?\d{2}\b", PERSONAL),
+    Pattern("CPF", r"\b\d{3}\.?\d{3}\.?\d{3}-?\d{2}\b", PERSONAL, needs=_DIGITS),
+    Pattern("CNPJ", r"\b\d{2}\.?\d{3}\.?\d{3}[/\\]?\d{4}-?\d{2}\b", PERSONAL, needs=_DIGITS),
     Pattern(
         "Email",
         r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}",
@@ -95,9 +97,9 @@ PATTERNS = (
         ignore_case=True,
         needs="@",
     ),
-    Pattern("Telefone", r"(\+?55\s?)?(\(?[1-9]{2}\)?[\s.\-]?)(\d{4,5}[\s.\-]?\d{4})", PERSONAL),
-    Pattern("CEP", r"\b\d{5}-?\d{3}\b", PERSONAL),
-    Pattern("RG", r"\b\d{1,2}\.?\d{3}\.?\d{3}-?[\dxX]\b", PERSONAL),
+    Pattern("Telefone", r"(\+?55\s?)?(\(?[1-9]{2}\)?[\s.\-]?)(\d{4,5}[\s.\-]?\d{4})", PERSONAL, needs=_DIGITS),
+    Pattern("CEP", r"\b\d{5}-?\d{3}\b", PERSONAL, needs=_DIGITS),
+    Pattern("RG", r"\b\d{1,2}\.?\d{3}\.?\d{3}-?[\dxX]\b", PERSONAL, needs=_DIGITS),
 )
 
 # Inputs and label of the churn model.
