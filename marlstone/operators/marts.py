@@ -104,14 +104,16 @@ def _mart_report(mart: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 def revenue_by_category(mart: DataFrame) -> DataFrame:
-    return _mart_report(mart, ("category",)).orderBy(F.desc_nulls_last("revenue"))
+    return _mart_report(mart, ("category",)).orderBy(
+        F.desc_nulls_last("revenue"), F.asc_nulls_last("category")
+    )
 
 
 def revenue_by_channel_region(mart: DataFrame) -> DataFrame:
     return (
         _mart_report(mart, ("channel", "region_name"))
         .drop("units")
-        .orderBy(F.desc_nulls_last("revenue"))
+        .orderBy(F.desc_nulls_last("revenue"), "channel", "region_name")
     )
 
 
@@ -197,7 +199,7 @@ def top_plus_other(
         )
         .groupBy("is_other", dimension)
         .agg(F.sum("revenue").cast(TOTAL).alias("revenue"))
-        .orderBy("is_other", F.desc_nulls_last("revenue"))
+        .orderBy("is_other", F.desc_nulls_last("revenue"), F.asc_nulls_last(dimension))
     )
 
 
