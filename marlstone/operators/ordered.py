@@ -50,7 +50,8 @@ def running_totals(
     group = [by] if by else []
     range_keys = [*group, "_range"]
 
-    # At most ranges + 1 rows per group: small enough for one window and for a broadcast.
+    # At most ranges + 1 rows per group. The join below needs no broadcast: it shuffles by the keys
+    # of the window after it.
     in_order = Window.partitionBy(*group).orderBy("_range")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     everywhere = Window.partitionBy(*group)
@@ -66,7 +67,7 @@ def running_totals(
         .orderBy(F.asc_nulls_first(value))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return ranged.join(F.broadcast(offsets), range_keys).select(
+    return ranged.join(offsets, range_keys).select(
         *counted.columns,
         *[
             (F.col(f"_{m}_offset") + F.coalesce(F.sum(m).over(smaller), F.lit(0))).alias(

@@ -99,7 +99,7 @@ def build_gold(
         silver_sales(spark, lake), year=year, month=month, generated_at=generated_at
     )
     target = f"{lake.gold}/relatorio_vendas"
-    write_parquet(to_stored(mart), target, _MONTH, files_per_partition=1)
+    write_parquet(to_stored(mart), target, _MONTH)
     return from_stored(spark.read.parquet(target))
 
 

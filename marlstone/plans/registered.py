@@ -78,7 +78,7 @@ def _partitioned_sales(spark, sf_dir) -> str:
     df = fixtures.sales(spark, sf_dir)
     target = scratch_path(spark, "sales-by-month")
     for part in (df, df.filter(F.col("year") >= 1998)):
-        writers.write_parquet(part, target, ("year", "month"), files_per_partition=1)
+        writers.write_parquet(part, target, ("year", "month"))
     return target
 
 

@@ -2,33 +2,27 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+_log = logging.getLogger(__name__)
 
 
 def write_parquet(
-    df: DataFrame,
-    path: str,
-    partition_by: Sequence[str] = (),
-    *,
-    files_per_partition: int | None = None,
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), *, gather: bool = True
 ) -> None:
     """Overwrite `path`; with `partition_by` only the partitions present in `df` are replaced.
 
-    `files_per_partition` gathers each partition value into that many files. Rows are spread by a
-    hash of their content as well, so that one large month does not end in a single task.
+    `gather` brings the rows of a partition value together first, so that not every task leaves a
+    file in every folder. Adaptive execution then evens the tasks out: it splits a value with many
+    rows over several and merges small ones. Turn it off for rows that are gathered already.
     """
-    writer_input = df
-    if files_per_partition and partition_by:
-        others = [c for c in df.columns if c not in partition_by]
-        slot = F.pmod(F.xxhash64(*others), F.lit(files_per_partition))
-        writer_input = df.repartition(*partition_by, slot)
-    elif files_per_partition:
-        writer_input = df.repartition(files_per_partition)
-    writer = writer_input.write.mode("overwrite")
+    if gather and partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
@@ -50,10 +44,6 @@ def csv_to_parquet(
     write_parquet(df, target, partition_by)
 
 
-def append_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).json(path)
-
-
 def dated_path(root: str, day: datetime, name: str) -> str:
     return f"{root.rstrip('/')}/{day:%Y/%m/%d}/{name}"
 
@@ -66,14 +56,30 @@ def write_document(document: DataFrame, path: str) -> None:
 def register_parquet_table(spark: SparkSession, name: str, path: str) -> None:
     """Register a Parquet folder as a table and pick up its partition folders.
 
-    Column and partition types come from the files and folder names.
+    Column and partition types come from the files and folder names. Run again, it adds new
+    folders; columns that have changed since are logged, and the table keeps those it has.
     """
+    known = spark.catalog.tableExists(name)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if known:
+        for change in schema_changes(spark.table(name), spark.read.parquet(path)):
+            _log.warning("%s: %s", name, change)
     if _is_partitioned(spark, name):
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
 
 
+def schema_changes(table: DataFrame, files: DataFrame) -> list[str]:
+    """Columns added, removed or retyped in the files against the table."""
+    before, now = dict(table.dtypes), dict(files.dtypes)
+    added = [f"column {c} {now[c]} added" for c in now if c not in before]
+    removed = [f"column {c} removed" for c in before if c not in now]
+    retyped = [
+        f"column {c} {before[c]} is now {now[c]}" for c in now if before.get(c, now[c]) != now[c]
+    ]
+    return added + removed + retyped
+
+
 def _is_partitioned(spark: SparkSession, name: str) -> bool:
     return any(column.isPartition for column in spark.catalog.listColumns(name))
 

@@ -13,6 +13,7 @@ from marlstone.plans import medallion
 from marlstone.plans.medallion import Lake
 from marlstone.sources import readers, writers
 from marlstone.sources.scratch import scratch_path, shared_folder
+from tests.conftest import rows
 
 NOW = datetime(2024, 7, 1, 6)
 AS_OF = date(2024, 7, 1)
@@ -137,12 +138,22 @@ def test_csv_types_are_inferred_only_when_asked(spark, tmp_path):
     assert stamped.first().ingestion_ts == NOW
 
 
-def test_files_per_partition(spark):
+def test_gathering_leaves_few_files(spark):
     df = spark.range(1000).selectExpr("id", "id % 2 as part").repartition(8)
-    path = scratch_path(spark, "files")
-    writers.write_parquet(df, path, ("part",), files_per_partition=2)
-    assert len(spark.read.parquet(path).inputFiles()) <= 4
-    assert spark.read.parquet(path).count() == 1000
+    gathered, scattered = scratch_path(spark, "files"), scratch_path(spark, "files")
+    writers.write_parquet(df, gathered, ("part",))
+    writers.write_parquet(df, scattered, ("part",), gather=False)
+    assert len(spark.read.parquet(gathered).inputFiles()) == 2
+    assert len(spark.read.parquet(scattered).inputFiles()) == 16
+    assert rows(spark.read.parquet(gathered)) == rows(spark.read.parquet(scattered))
+
+
+def test_schema_changes_are_named(spark):
+    table = spark.createDataFrame([], "a int, b string, c date")
+    files = spark.createDataFrame([], "a bigint, c date, d string")
+    assert writers.schema_changes(table, files) == [
+        "column d string added", "column b removed", "column a int is now bigint",
+    ]
 
 
 def test_scratch_tables_go_to_the_shared_folder(spark):
