@@ -28,3 +28,8 @@ def sf_dir():
 def rows(df):
     """Rows as plain tuples, in a fixed order."""
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def plan(df):
+    """Text of the physical plan: the first one before the rows are asked for, the last one after."""
+    return df._jdf.queryExecution().executedPlan().toString()

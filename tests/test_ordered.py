@@ -44,7 +44,7 @@ def test_percent_ranks_equal_the_built_in(spark, values):
     assert rows(percent_ranks(df, "k", SPECS)) == rows(built_in(df))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.one_of(st.none(), st.integers(-20, 20)), min_size=1, max_size=60))
 def test_percent_ranks_of_any_values(spark, values):
     df = frame(spark, values)

@@ -2,34 +2,13 @@
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from marlstone.operators import marts
 from marlstone.operators.enrich import enrich
 from marlstone.plans import features, fixtures
 from marlstone.sources.scratch import scratch_path
-from tests.conftest import rows
-
-import __spark_entry__ as entry
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-LAZY = sorted(
-    set(entry.queries())
-    - {"churn_model_scores", "feature_importances", "clicks_stream", "pii_report"}
-)
-
-
-@pytest.mark.parametrize("name", LAZY)
-def test_no_cross_joins(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "PythonUDF" not in text and "ArrowEvalPython" not in text and "InPandas" not in text
-
+from tests.conftest import plan
 
 def test_filters_and_columns_reach_the_files(spark):
     path = scratch_path(spark, "silver")
