@@ -6,62 +6,68 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.001
-SALTS = 64
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(
+    df: DataFrame, key: str, share: float = HOT_SHARE, partitions: int | None = None
+) -> DataFrame:
     """Keys that own at least `share` of all rows: never more than 1 / share of them.
 
-    Reads the key column only, and counts within each task before anything is shuffled.
+    Each comes with `_salts`, the number of the `partitions` (those of the session by default)
+    that its rows would fill. Reads the key column only, and counts within each task before
+    anything is shuffled.
     """
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return hot_of_counts(counted, key, "_rows", share)
+    return hot_of_counts(counted, key, "_rows", share, partitions)
 
 
 def hot_of_counts(
-    counted: DataFrame, key: str, rows: str, share: float = HOT_SHARE
+    counted: DataFrame,
+    key: str,
+    rows: str,
+    share: float = HOT_SHARE,
+    partitions: int | None = None,
 ) -> DataFrame:
     """`hot_keys` from counts per key that are at hand already."""
-    total = counted.agg(F.sum(rows)).scalar()
+    own_share = F.col(rows) / counted.agg(F.sum(rows)).scalar()
+    salts = F.ceil(own_share * (partitions or _shuffle_partitions(counted))).cast("int")
     return (
         counted.filter(F.col(key).isNotNull())
-        .filter(F.col(rows) >= F.lit(share) * total)
-        .select(key)
+        .withColumn("_share", own_share)
+        .filter(F.col("_share") >= share)
+        .select(key, salts.alias("_salts"))
     )
 
 
 def salted_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    hot: DataFrame,
-    *,
-    spread_by: Column,
-    salts: int = SALTS,
+    left: DataFrame, right: DataFrame, key: str, hot: DataFrame, *, spread_by: Column
 ) -> DataFrame:
     """left LEFT JOIN right on `key`, `right` holding one row per key.
 
-    Rows of the `hot` keys, and rows without a key, are spread over `salts` partitions by
-    `spread_by` (an expression of the left row that varies within a key). Only the right rows of
-    hot keys are repeated. `hot` must come from `hot_keys` or `hot_of_counts`: its size is bounded
-    by the share, which is what allows broadcasting it.
+    Rows of the `hot` keys are spread over their number of salts, rows without a key over all
+    partitions, by `spread_by`, an expression of the left row that varies within a key. Only the
+    right rows of hot keys are repeated, once per salt, which adds up to little more than the
+    number of partitions. `hot` must come from `hot_keys` or `hot_of_counts`: the share bounds its
+    size, which is what allows broadcasting it.
     """
-    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    spread = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+    marked = F.broadcast(hot)
+    hashed = F.xxhash64(spread_by)
+    salt = (
+        F.when(F.col(key).isNull(), F.pmod(hashed, F.lit(_shuffle_partitions(left))))
+        .when(F.col("_salts").isNotNull(), F.pmod(hashed, F.col("_salts")))
+        .otherwise(F.lit(0))
+    )
+    last_salt = F.coalesce(F.col("_salts") - 1, F.lit(0))
     left_salted = (
-        left.join(marked, key, "left")
-        .withColumn(
-            "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0))
-        )
-        .drop("_hot")
+        left.join(marked, key, "left").withColumn("_salt", salt.cast("int")).drop("_salts")
     )
     right_salted = (
         right.join(marked, key, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_hot")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last_salt)))
+        .drop("_salts")
     )
     return left_salted.join(right_salted, [key, "_salt"], "left").drop("_salt")
+
+
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -61,9 +61,9 @@ def test_hot_keys_are_bounded_and_joined_whole(spark):
         .otherwise(F.col("id")).alias("k"),
     )
     right = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    hot = hot_keys(left, "k", share=0.1)
-    assert [r.k for r in hot.collect()] == [7]
-    salted = salted_left_join(left, right, "k", hot, spread_by=F.col("id"), salts=8)
+    hot = hot_keys(left, "k", share=0.1, partitions=30)
+    assert [(r.k, r._salts) for r in hot.collect()] == [(7, 11)], "a third of 30, rounded up"
+    salted = salted_left_join(left, right, "k", hot, spread_by=F.col("id"))
     assert rows(salted.select("id", "k", "v")) == rows(
         left.join(right, "k", "left").select("id", "k", "v")
     )
