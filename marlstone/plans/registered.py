@@ -938,14 +938,36 @@ def _negative_completed(df: DataFrame) -> DataFrame:
     return quality.assert_empty(df, broken, "sale_id", "total_value")
 
 
-@register("quality_report")
+@register(
+    "quality_report",
+    with_ctes(
+        'select layer, category, "check", total, failed, rate from checks',
+        "enriched",
+        checks=f"{_BRONZE_SQL} union all {_SILVER_SQL}",
+    ),
+)
 def quality_report(spark, sf_dir):
-    """The published gate report, read back from its dated path."""
+    """The details of the published gate report, read back from its dated path."""
     results = _bronze_results(spark, sf_dir).unionByName(_silver_results(spark, sf_dir))
     evaluated = written(quality.evaluate(results), "gate")
     path = writers.dated_path(scratch_path(spark, "reports"), NOW, "quality_gate_report.json")
-    writers.write_document(quality.gate_report(evaluated, NOW, ["bronze", "silver"]), path)
-    return spark.read.text(path)
+    layers = ["bronze", "silver"]
+    writers.write_document(quality.gate_report(evaluated, NOW, layers), path)
+    entry = "array<struct<check: string, total: bigint, failed: bigint, rate: double>>"
+    categories = ", ".join(f"{c}: {entry}" for c in rules.THRESHOLDS)
+    schema = f"details struct<{', '.join(f'{la}: struct<{categories}>' for la in layers)}>"
+    read = spark.read.schema(schema).json(path)
+    return _union(
+        [
+            read.select(
+                F.lit(layer).alias("layer"),
+                F.lit(category).alias("category"),
+                F.inline(f"details.{layer}.{category}"),
+            )
+            for layer in layers
+            for category in rules.THRESHOLDS
+        ]
+    )
 
 
 # --- personal data -----------------------------------------------------------------------------
@@ -1039,26 +1061,32 @@ def pii_regex_detect(spark, sf_dir):
     return _union([pii.scan_table(tables[n], "lake", n, hints=()) for n in names])
 
 
-@register(
-    "pii_scan",
-    with_ctes(
-        """
+_SCAN_SQL = (
+    """
 select 'lake' as "database", 'clientes' as "table", 'email' as "column", 'Email' as pii_type,
   'dado_pessoal' as lgpd_class, 'high' as confidence, cast(null as double) as match_rate
 union all select 'lake', 'clientes', 'cpf', 'CPF', 'dado_pessoal', 'high', null
 union all select 'lake', 'clientes', 'nome_cliente', 'NomePessoa', 'dado_pessoal', 'high', null
 union all """
-        + _detected_sql((*_TEXT_COLUMNS, ("customers", "segment"), ("customers", "state"))),
-        "customers",
-    ),
+    + _detected_sql((*_TEXT_COLUMNS, ("customers", "segment"), ("customers", "state")))
 )
+
+
+@register("pii_scan", with_ctes(_SCAN_SQL, "customers"))
 def pii_scan(spark, sf_dir):
     return pii.scan_databases({"lake": _scanned_tables(spark, sf_dir)})
 
 
-@register("pii_report")
+@register(
+    "pii_report",
+    with_ctes(
+        'select "table", "column", pii_type, lgpd_class, confidence, match_rate, '
+        f"cast(count(*) over () as integer) as total_pii_cols from ({_SCAN_SQL}) found",
+        "customers",
+    ),
+)
 def pii_report(spark, sf_dir):
-    """Tables of a registered database, scanned, and the published report read back."""
+    """The findings of the published report on a registered database, read back."""
     database = _fresh("lake")
     root = scratch_path(spark, database)
     for name, df in _scanned_tables(spark, sf_dir).items():
@@ -1066,7 +1094,9 @@ def pii_report(spark, sf_dir):
     found = pii.scan_databases({database: tables_of(spark, database, f"{root}/{database}")})
     path = writers.dated_path(scratch_path(spark, "reports"), NOW, "pii_report.json")
     writers.write_document(pii.findings_report(found, NOW, [database]), path)
-    return spark.read.text(path)
+    schema = f"total_pii_cols int, findings array<struct<{pii.FINDING}>>"
+    read = spark.read.schema(schema).json(path)
+    return read.select("total_pii_cols", F.inline("findings")).drop("database")
 
 
 def _customer_findings(spark, sf_dir) -> tuple[DataFrame, list]:
