@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import language
+from marlstone.llm import language, near_dedup
 from marlstone.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ def _shipped(run: Query) -> Query:
 QUERIES: dict[str, Query] = {
     name: _shipped(run)
     for name, run in {
+        "op1_near_dedup": near_dedup.op1,
         "op4_language": language.op4,
     }.items()
 }
