@@ -8,8 +8,8 @@ Jaccard similarity of their full shingle sets reaches the threshold.
 
 Copies count once: documents of equal sets are one node. In a bucket, all members are first
 compared with its smallest. Whatever is then in one component needs no further pair; members of
-different components of a bucket are compared with each other, so no candidate pair is left open
-and a group of thousands of copies still costs about one comparison per copy.
+different components are compared where their differences from their group's common text allow a
+link, so no candidate pair is left open, and thousands of copies do not meet in all pairs.
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked
 with nothing. Rows of one id are one node: they share a component. A row without an id is kept and
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.arrays import GOLDEN, Texts, Words, binary_list, chunks, long_list, mix, shingles
@@ -132,21 +132,8 @@ def near_duplicates(
     first = written(components(linked), "components")
 
     # Second step: candidates that the first one left in different components.
-    placed = bucketed.join(first.withColumnRenamed("id", "node"), "node", "left")
-    placed = written(placed.withColumn("component", F.coalesce("component", "node")), "placed")
-    parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    open_ = parts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.count(F.lit(1)).alias("parts"))
-    # A bucket of two has one pair, which has been compared.
-    open_ = open_.filter("parts > 1")
-    left = placed.join(open_, "bucket").filter("component <> major")
-    x, y = left.alias("x"), placed.alias("y")
-    across = (
-        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")))
-        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    more = written(_verified(written(across, "across"), sets, percent), "verified")
+    across = written(_across(bucketed, pairs, first, sets, percent), "across")
+    more = written(_verified(across, sets, percent), "verified")
     classes = components(linked.union(more))
 
     known = same.drop("bands").join(classes.withColumnRenamed("id", "node"), "node", "left")
@@ -163,6 +150,80 @@ def near_duplicates(
     )
 
 
+def _across(bucketed: DataFrame, compared: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one centre, of different components and not compared yet, that may be linked.
+
+    Among near copies of one text whose similarity lies around the threshold, hardly any pair of
+    thousands is linked, and comparing all of them is what this avoids. Each centre's group gets a
+    reference set: the shingles that most of its members hold. With D(x) the difference of x to it,
+    the difference of x and y has |D(x)| + |D(y)| - 2 |D(x) n D(y)| shingles, and the pair is linked
+    if that is at most (|x| + |y|) * (100 - percent) / (100 + percent). Call |x| times that factor
+    less than |D(x)| the excess of x: the pair is linked if D(x) and D(y) share at least half the
+    sum of both excesses. Where that sum is not positive, the pair is linked whatever they share; then
+    x is linked with the member of least excess too, which is the only one it is paired with.
+    All other pairs share at least one rare shingle: of D, ordered from rare to frequent, it lies
+    among the first |D| - (least number to share) + 1, and only pairs meeting there are returned.
+    """
+    group = bucketed.select("centre", "node").union(bucketed.select("centre", F.col("centre"))).distinct()
+    group = group.join(placed.select(F.col("id").alias("node"), "component"), "node", "left")
+    group = group.withColumn("component", F.coalesce("component", "node"))
+    # A group of two has one pair, which has been compared.
+    parts = group.groupBy("centre").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
+    group = group.join(parts.filter("size > 2 AND low < high").select("centre", "size"), "centre")
+    items = sets.dropDuplicates(["id"]).select(F.col("id").alias("node"), "items")
+    group = written(group.join(items, "node"), "groups")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
+                values = [np.frombuffer(x.as_buffer(), np.int64) for x in piece.column("items")]
+                repeat = pa.array(np.repeat(np.arange(len(values)), [len(v) for v in values]))
+                item = pa.array(np.concatenate(values) if values else np.zeros(0, np.int64))
+                yield pa.RecordBatch.from_arrays([*[piece.column(c).take(repeat) for c in ("centre", "size")], item], ["centre", "size", "item"])
+
+    held = group.select("centre", "size", "items").mapInArrow(spread, "centre long, size long, item long")
+    most = held.groupBy("centre", "size", "item").count().filter("2 * count > size")
+    reference = most.groupBy("centre").agg(F.sort_array(F.collect_list("item")).alias("reference"))
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, excess = [], []
+            for items, reference in zip(batch.column("items"), batch.column("reference"), strict=True):
+                x = np.frombuffer(items.as_buffer(), np.int64)
+                own.append(np.setxor1d(x, reference.values.to_numpy() if reference.is_valid else x[:0], assume_unique=True))
+                excess.append((100 + percent) * len(own[-1]) - (100 - percent) * len(x))
+            first = np.concatenate([[0], np.cumsum([len(d) for d in own])])
+            lists = long_list(np.concatenate(own), first)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("centre", "node", "component")], pa.array(excess, pa.int64()), lists],
+                ["centre", "node", "component", "excess", "own"],
+            )
+
+    out = "centre long, node long, component long, excess long, own array<long>"
+    own = written(group.join(reference, "centre", "left").mapInArrow(differ, out), "differences")
+    least = own.groupBy("centre").agg(F.min(F.struct("excess", "node", "component")).alias("least"))
+    own = own.join(least, "centre").withColumn("both", F.col("excess") + F.col("least.excess"))
+    sure = own.filter("both <= 0 AND component <> least.component").select(F.col("least.node").alias("x"), F.col("node").alias("y"))
+
+    share = F.greatest(F.lit(1), F.ceil(F.col("both") / (2 * (100 + percent))))
+    own = own.withColumn("prefix", F.size("own") - share + 1).filter("prefix > 0")
+    own = own.select("centre", "node", "component", "prefix", F.explode("own").alias("item"))
+    counted = own.groupBy("centre", "item").count()
+    in_order = Window.partitionBy("centre", "node").orderBy("count", "item")
+    rare = own.join(counted, ["centre", "item"]).withColumn("place", F.row_number().over(in_order))
+    rare = written(rare.filter("place <= prefix AND count > 1").select("centre", "item", "node", "component"), "rare")
+    met = rare.alias("p").join(
+        rare.alias("q"),
+        (F.col("p.centre") == F.col("q.centre"))
+        & (F.col("p.item") == F.col("q.item"))
+        & (F.col("p.node") < F.col("q.node"))
+        & (F.col("p.component") != F.col("q.component")),
+    )
+    found = met.select(F.col("p.node").alias("x"), F.col("q.node").alias("y")).union(sure)
+    found = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return found.join(compared, ["a", "b"], "left_anti")
+
+
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in chunks(whole, "text")):
