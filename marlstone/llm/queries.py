@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import language, near_dedup, packing
+from marlstone.llm import decontaminate, language, near_dedup, packing
 from marlstone.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,7 @@ QUERIES: dict[str, Query] = {
         "op1_near_dedup": near_dedup.op1,
         "op4_language": language.op4,
         "op7_packing": packing.op7,
+        "op8_decontaminate": decontaminate.op8,
     }.items()
 }
 
