@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import decontaminate, language, near_dedup, packing
+from marlstone.llm import decontaminate, language, near_dedup, packing, private_data
 from marlstone.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {
     name: _shipped(run)
     for name, run in {
         "op1_near_dedup": near_dedup.op1,
+        "op2_private_data": private_data.op2,
         "op4_language": language.op4,
         "op7_packing": packing.op7,
         "op8_decontaminate": decontaminate.op8,
