@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import decontaminate, language, near_dedup, packing, private_data
+from marlstone.llm import decontaminate, language, near_dedup, packing, private_data, search
 from marlstone.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +26,29 @@ QUERIES: dict[str, Query] = {
         "op1_near_dedup": near_dedup.op1,
         "op2_private_data": private_data.op2,
         "op4_language": language.op4,
+        "op5_search": search.op5,
         "op7_packing": packing.op7,
         "op8_decontaminate": decontaminate.op8,
     }.items()
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_search": """
+        WITH v AS (
+            SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.w, c.w)]) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ),
+        ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
