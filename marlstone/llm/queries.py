@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import decontaminate, language, near_dedup, packing, private_data, search
+from marlstone.llm import decontaminate, language, near_dedup, packing, private_data, quality, search
 from marlstone.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {
     for name, run in {
         "op1_near_dedup": near_dedup.op1,
         "op2_private_data": private_data.op2,
+        "op3_quality": quality.op3,
         "op4_language": language.op4,
         "op5_search": search.op5,
         "op7_packing": packing.op7,
