@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import decontaminate, language, near_dedup, packing, private_data, quality, search
+from marlstone.llm import decontaminate, language, mixing, near_dedup, packing, private_data, quality, search
 from marlstone.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {
         "op5_search": search.op5,
         "op7_packing": packing.op7,
         "op8_decontaminate": decontaminate.op8,
+        "op9_mixing": mixing.op9,
     }.items()
 }
 
