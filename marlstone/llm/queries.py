@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import decontaminate, language, mixing, near_dedup, packing, private_data, quality, search
+from marlstone.llm import (
+    automaton_dedup,
+    decontaminate,
+    language,
+    mixing,
+    near_dedup,
+    packing,
+    private_data,
+    quality,
+    search,
+    suffix_dedup,
+)
 from marlstone.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,9 +39,11 @@ QUERIES: dict[str, Query] = {
         "op3_quality": quality.op3,
         "op4_language": language.op4,
         "op5_search": search.op5,
+        "op6_automaton_dedup": automaton_dedup.op6,
         "op7_packing": packing.op7,
         "op8_decontaminate": decontaminate.op8,
         "op9_mixing": mixing.op9,
+        "op10_suffix_dedup": suffix_dedup.op10,
     }.items()
 }
 
