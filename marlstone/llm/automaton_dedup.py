@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from marlstone.llm.repeats import Units, covered, repeated_windows, word_units
 
 SIZE = 13
-_GRAM = 5
+_GRAM = 4
 
 
 class Automaton:
