@@ -34,9 +34,6 @@ PERCENT = 80
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 32 << 20
 _FILTER_BITS = 22
 LEAKS = "array<struct<item_id:long,start_word:long,end_word:long,similarity:double>>"
-_LEAK_TYPE = pa.list_(
-    pa.struct([("item_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("similarity", pa.float64())])
-)
 
 
 def fingerprints(word_hash: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -198,7 +195,9 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
                 place = batch.schema.get_field_index("leaks")
                 if any(found):
                     found = [a + b for a, b in zip(batch.column(place).to_pylist(), found, strict=True)]
-                    batch = batch.set_column(place, "leaks", pa.array(found, _LEAK_TYPE))
+                    # The field as it came: all batches of a task must have one schema.
+                    field = batch.schema.field(place)
+                    batch = batch.set_column(place, field, pa.array(found, field.type))
                 yield batch
 
         out = out.mapInArrow(run, StructType([*docs.drop("leaks").schema.fields, *StructType.fromDDL(f"leaks {LEAKS}").fields]))
