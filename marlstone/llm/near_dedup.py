@@ -207,17 +207,21 @@ def _across(bucketed: DataFrame, compared: DataFrame, placed: DataFrame, sets: D
 
     share = F.greatest(F.lit(1), F.ceil(F.col("both") / (2 * (100 + percent))))
     own = own.withColumn("prefix", F.size("own") - share + 1).filter("prefix > 0")
-    own = own.select("centre", "node", "component", "prefix", F.explode("own").alias("item"))
+    own = own.select("centre", "node", "component", "excess", "prefix", F.size("own").alias("size"), F.explode("own").alias("item"))
     counted = own.groupBy("centre", "item").count()
     in_order = Window.partitionBy("centre", "node").orderBy("count", "item")
     rare = own.join(counted, ["centre", "item"]).withColumn("place", F.row_number().over(in_order))
-    rare = written(rare.filter("place <= prefix AND count > 1").select("centre", "item", "node", "component"), "rare")
+    rare = rare.filter("place <= prefix AND count > 1").withColumn("behind", F.col("size") - F.col("place"))
+    rare = written(rare.select("centre", "item", "node", "component", "excess", "behind"), "rare")
+    # From their first common item on, a pair shares at most what either still has.
+    enough = F.least("p.behind", "q.behind") + 1 >= (F.col("p.excess") + F.col("q.excess")) / (2 * (100 + percent))
     met = rare.alias("p").join(
         rare.alias("q"),
         (F.col("p.centre") == F.col("q.centre"))
         & (F.col("p.item") == F.col("q.item"))
         & (F.col("p.node") < F.col("q.node"))
-        & (F.col("p.component") != F.col("q.component")),
+        & (F.col("p.component") != F.col("q.component"))
+        & enough,
     )
     found = met.select(F.col("p.node").alias("x"), F.col("q.node").alias("y")).union(sure)
     found = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
