@@ -127,7 +127,8 @@ def near_duplicates(
     pairs = written(pairs, "pairs")
 
     involved = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = written(given.join(involved, "id", "left_semi").mapInArrow(_sets(shingle), "id long, items binary"), "sets")
+    # Merged at every size, since these ids grow with the corpus.
+    sets = written(given.join(involved.hint("merge"), "id", "left_semi").mapInArrow(_sets(shingle), "id long, items binary"), "sets")
     linked = written(_verified(pairs, sets, percent), "verified")
     first = written(components(linked), "components")
 
