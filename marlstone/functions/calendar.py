@@ -21,11 +21,17 @@ def from_month(year: Column, month: Column, first: tuple[int, int]) -> Column:
 
 
 def trailing_months(year: Column, month: Column, as_of: date, months: int) -> Column:
-    """Rows of the month `months` before `as_of` or later, the as-of month included.
+    """Rows of the month `months` before `as_of` up to the as-of month.
 
     A window of 6 therefore spans seven calendar months, the last of them unfinished.
     """
-    return from_month(year, month, months_before(as_of, months))
+    past = (year < as_of.year) | ((year == as_of.year) & (month <= as_of.month))
+    return from_month(year, month, months_before(as_of, months)) & past
+
+
+def known_by(day: Column, as_of: date) -> Column:
+    """Rows of the as-of date or earlier, and those without a date."""
+    return F.coalesce(day <= F.lit(as_of), F.lit(True))
 
 
 def days_since(day: Column, as_of: date) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone import rules
-from marlstone.functions.calendar import days_since, trailing_months
+from marlstone.functions.calendar import days_since, known_by, trailing_months
 from marlstone.functions.numbers import money_mean, money_total, ratio
 from marlstone.operators.marts import completed
 
@@ -29,7 +29,7 @@ def orders_in_trailing_months(
 ) -> DataFrame:
     """Mean completed orders per month over the trailing months that have any."""
     return (
-        completed(sales)
+        completed(sales.filter(known_by(F.col("sale_date"), as_of)))
         .filter(trailing_months(F.col("year"), F.col("month"), as_of, months))
         .groupBy("customer_id", "year", "month")
         .agg(F.count("sale_id").alias("_orders"))
@@ -116,9 +116,9 @@ def high_value_orders(sales: DataFrame) -> DataFrame:
 
 
 def recency(sales: DataFrame, as_of: date) -> DataFrame:
-    """Days from the last completed sale to the as-of date."""
+    """Days from the last completed sale to the as-of date; later sales are not known yet."""
     return (
-        completed(sales)
+        completed(sales.filter(known_by(F.col("sale_date"), as_of)))
         .groupBy("customer_id")
         .agg(days_since(F.max("sale_date"), as_of).alias("days_since_purchase"))
     )

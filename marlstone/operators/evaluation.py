@@ -53,19 +53,21 @@ def stratified_split(
     within their label by ranges of the hash, not by one sort per label.
     """
     hashed = df.withColumn("_hash", F.md5(F.concat_ws(":", F.lit(seed), F.col(key))))
+    # A missing label is a label of its own.
+    hashed = hashed.withColumn("_label", F.coalesce(F.col(label).cast("string"), F.lit("\0")))
     # Rows with the same key stay apart: they are counted together and placed in equal hash order.
-    counted = value_counts(hashed, "_hash", by=label)
+    counted = value_counts(hashed, "_hash", by="_label")
     # Two hex digits of the hash cut it into 256 even ranges.
     placed = running_totals(
-        counted, "_hash", by=label, range_of=F.conv(F.substring("_hash", 1, 2), 16, 10).cast("int")
+        counted, "_hash", by="_label", range_of=F.conv(F.substring("_hash", 1, 2), 16, 10).cast("int")
     )
     limit = F.round(F.col("n_total") * train_share)
     return (
         hashed.join(
-            placed.select(label, "_hash", (F.col("n_before") < limit).alias("is_train")),
-            [label, "_hash"],
+            placed.select("_label", "_hash", (F.col("n_before") < limit).alias("is_train")),
+            ["_label", "_hash"],
         )
-        .drop("_hash")
+        .drop("_hash", "_label")
     )
 
 
@@ -80,11 +82,17 @@ def classification_report(
 ) -> DataFrame:
     """Precision, recall, f1 and support per class, then accuracy, macro and weighted mean.
 
-    A measure without a denominator is 0. Beyond the confusion counts, everything works on one row
+    A measure without a denominator is 0. Classes without a name go by their number. Beyond the confusion counts, everything works on one row
     per class.
     """
-    classes = F.array(
-        *[F.struct(F.lit(c).alias("value"), F.lit(n).alias("name")) for c, n in names.items()]
+    named = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    values = F.concat(F.array(*[F.lit(c) for c in names]), F.array("label", "prediction"))
+    values = F.array_distinct(F.array_compact(values))
+    classes = F.transform(
+        values,
+        lambda v: F.struct(
+            v.alias("value"), F.coalesce(F.try_element_at(named, v), v.cast("string")).alias("name")
+        ),
     )
     cells = confusion(df, label, prediction).select("*", F.explode(classes).alias("class"))
     actual, predicted = F.col("label") == F.col("class.value"), F.col("prediction") == F.col("class.value")

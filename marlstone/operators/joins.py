@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
-
 
 def hot_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, partitions: int | None = None
+    df: DataFrame, key: str, share: float | None = None, partitions: int | None = None
 ) -> DataFrame:
     """Keys that own at least `share` of all rows: never more than 1 / share of them.
 
+    By default that is the share of one partition, whatever their number: any larger key would
+    make its task longer than the others.
+
     Each comes with `_salts`, the number of the `partitions` (those of the session by default)
     that its rows would fill. Reads the key column only, and counts within each task before
     anything is shuffled.
@@ -25,10 +26,11 @@ def hot_of_counts(
     counted: DataFrame,
     key: str,
     rows: str,
-    share: float = HOT_SHARE,
+    share: float | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """`hot_keys` from counts per key that are at hand already."""
+    share = share or 1 / (partitions or _shuffle_partitions(counted))
     own_share = F.col(rows) / counted.agg(F.sum(rows)).scalar()
     salts = F.ceil(own_share * (partitions or _shuffle_partitions(counted))).cast("int")
     return (

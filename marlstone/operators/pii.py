@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone import rules
@@ -144,13 +144,12 @@ def scan_table(
     patterns: Sequence[Pattern] = rules.PATTERNS,
     threshold: float = rules.PII_MATCH_RATE,
     match: str = "substring",
-    sample_rows: int | None = None,
     unicode: bool = True,
 ) -> DataFrame:
     """Findings of a table: every column by name, the string columns left by content.
 
     A column is reported for the first pattern, in order, that occurs in at least `threshold` of
-    its values. All rows are read unless `sample_rows` asks for the first few only.
+    its values. All rows are read.
     """
     hinted = {f.name: h for f in df.schema if (h := hint_for(f.name, hints, match))}
     scanned = [c for c in string_columns(df) if c not in hinted]
@@ -164,8 +163,7 @@ def scan_table(
     if not rows:
         return df.sparkSession.createDataFrame([], FINDING)
     if scanned:
-        sampled = df if sample_rows is None else df.select(*scanned).limit(sample_rows)
-        counted = _match_counts(sampled, scanned, patterns, unicode)
+        counted = _match_counts(df, scanned, patterns, unicode)
     else:
         counted = df.sparkSession.range(1)
     return counted.select(F.inline(F.array_compact(F.array(*rows))))
@@ -191,12 +189,14 @@ def _first_pattern(database, table, i, column, patterns, threshold) -> Column:
 def scan_databases(
     databases: Mapping[str, Mapping[str, DataFrame]], **options
 ) -> DataFrame:
-    """Findings of all tables of several databases."""
+    """Findings of all tables of several databases; none where there are no tables."""
     found = [
         scan_table(df, database, table, **options)
         for database, tables in databases.items()
         for table, df in tables.items()
     ]
+    if not found:
+        return SparkSession.active().createDataFrame([], FINDING)
     return reduce(DataFrame.unionByName, found)
 
 

@@ -133,7 +133,10 @@ def run_suite(
 def evaluate(
     results: DataFrame, thresholds: Mapping[str, float] | None = None
 ) -> DataFrame:
-    """Add `threshold`, `passed` and, for a failed check, `message`. A rate at the limit passes."""
+    """Add `threshold`, `passed` and, for a failed check, `message`. A rate at the limit passes.
+
+    A check of a category without a threshold has not passed.
+    """
     thresholds = thresholds or rules.THRESHOLDS
     limit = _by_category({c: F.lit(float(t)) for c, t in thresholds.items()})
     limit_text = _by_category({c: F.lit(f"{t:.0%}") for c, t in thresholds.items()})
@@ -148,7 +151,7 @@ def evaluate(
         F.col("failed").cast("string"),
         F.col("total").cast("string"),
     )
-    passed = F.col("rate") <= limit
+    passed = F.coalesce(F.col("rate") <= limit, F.lit(False))
     return (
         results.withColumn("threshold", limit)
         .withColumn("passed", passed)

@@ -86,13 +86,14 @@ REGIONS = StagedTable(
 
 
 def stage(raw: DataFrame, table: StagedTable) -> DataFrame:
-    """Typed rows of `table` that have a key.
+    """Typed rows of `table` that have a key of its type.
 
-    A value that does not fit its type becomes NULL; `cast_failures` lists those. Columns that
+    Any other value that does not fit its type becomes NULL; `cast_failures` lists both. Columns that
     the raw input does not have (an audit timestamp, say) are left out.
     """
     present = [c for c in table.columns if c.name in raw.columns]
-    return raw.filter(F.col(table.key).isNotNull()).select(
+    key = next((_target(c) for c in present if c.name == table.key), F.col(table.key))
+    return raw.filter(F.col(table.key).isNotNull() & key.isNotNull()).select(
         *[_target(column).alias(column.name) for column in present]
     )
 

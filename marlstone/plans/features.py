@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone import rules
-from marlstone.functions.calendar import days_since, trailing_months
+from marlstone.functions.calendar import days_since, known_by, trailing_months
 from marlstone.functions.numbers import TOTAL, mean_of_total, ratio
 from marlstone.operators.customers import preferred_channel_ties, with_churn_label
 from marlstone.operators.ranking import RFM, percent_ranks, rfm_score
@@ -55,7 +55,7 @@ def customer_base(
     done = F.col("status") == rules.COMPLETED
     value = F.when(done, F.col("total_value"))
     cells = (
-        enriched.select(
+        enriched.filter(known_by(F.col("sale_date"), as_of)).select(
             *_GROUPED,
             F.when(done, F.col("sale_id")).alias("_done_id"),
             "sale_id",

@@ -30,7 +30,6 @@ THRESHOLDS = {INTEGRITY: 0.0, COMPLETENESS: 0.05, BUSINESS: 0.0}
 CATEGORY_LABELS = {INTEGRITY: "INTEGRIDADE", COMPLETENESS: "COMPLETUDE", BUSINESS: "NEGÓCIO"}
 
 # Sampling and decision limits of the personal-data scan.
-PII_SAMPLE_ROWS = 500
 PII_MATCH_RATE = 0.20
 
 

@@ -50,10 +50,5 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
 
-def first_rows(df: DataFrame, rows: int) -> DataFrame:
-    """At most `rows` rows of the string columns, in no particular order."""
-    return df.select(*string_columns(df)).limit(rows)
-
-
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)

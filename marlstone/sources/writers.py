@@ -57,11 +57,14 @@ def register_parquet_table(spark: SparkSession, name: str, path: str) -> None:
     """Register a Parquet folder as a table and pick up its partition folders.
 
     Column and partition types come from the files and folder names. Run again, it adds new
-    folders; columns that have changed since are logged, and the table keeps those it has.
+    folders; columns that have changed since are logged, and the table keeps those it has. A table
+    known under another folder is moved to this one.
     """
     known = spark.catalog.tableExists(name)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
     if known:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         for change in schema_changes(spark.table(name), spark.read.parquet(path)):
             _log.warning("%s: %s", name, change)
     if _is_partitioned(spark, name):

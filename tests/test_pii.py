@@ -41,13 +41,6 @@ def test_scan(people):
     assert {r.column for r in token.collect()} == {"CPF_cliente", "contato"}
 
 
-def test_a_sample_reads_the_first_rows_only(people):
-    late = people.filter("id % 4 != 0").unionByName(people.filter("id % 4 = 0")).coalesce(1)
-    assert "contato" not in {
-        r.column for r in pii.scan_table(late, "db", "t", sample_rows=5).collect()
-    }
-
-
 def test_patterns_agree_with_plain_regex_search(spark):
     texts = [
         "123.456.789-09", "12345678909", "cpf 123.456.789-0", "12.345.678/0001-95",
