@@ -92,12 +92,21 @@ def stage(raw: DataFrame, table: StagedTable) -> DataFrame:
     the raw input does not have (an audit timestamp, say) are left out.
     """
     present = [c for c in table.columns if c.name in raw.columns]
-    key = next((_target(c) for c in present if c.name == table.key), F.col(table.key))
-    return raw.filter(F.col(table.key).isNotNull() & key.isNotNull()).select(
+    return raw.filter(_has_key(table)).select(
         *[_target(column).alias(column.name) for column in present]
     )
 
 
+def without_key(raw: DataFrame, table: StagedTable) -> DataFrame:
+    """The raw rows that `stage` leaves out."""
+    return raw.filter(~_has_key(table))
+
+
+def _has_key(table: StagedTable) -> Column:
+    typed = next((_target(c) for c in table.columns if c.name == table.key), F.col(table.key))
+    return F.col(table.key).isNotNull() & typed.isNotNull()
+
+
 def cast_failures(raw: DataFrame, table: StagedTable) -> DataFrame:
     """Raw rows with a key in which a value is present but does not fit its type.
 

@@ -6,13 +6,14 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marlstone.naming import from_stored, to_stored
 from marlstone.operators import staging
 from marlstone.operators.enrich import enrich
 from marlstone.operators.marts import sales_mart
 from marlstone.operators.quality import enforce, evaluate, gate_report, run_suite
-from marlstone.operators.validity import valid_sales
+from marlstone.operators.validity import rejected_sales, valid_sales
 from marlstone.plans import suites
 from marlstone.plans.features import customer_features
 from marlstone.sources.scratch import written
@@ -40,7 +41,7 @@ class Lake:
 
 
 def ingest(spark: SparkSession, lake: Lake, schemas: dict | None = None) -> None:
-    """Raw CSV folders to bronze. `schemas` maps a stored table name to its CSV schema."""
+    """Raw CSV folders to bronze, replacing it. `schemas` maps a stored table name to its CSV schema."""
     for stored, (_, _, partitions) in _TABLES.items():
         csv_to_parquet(
             spark,
@@ -48,6 +49,7 @@ def ingest(spark: SparkSession, lake: Lake, schemas: dict | None = None) -> None
             f"{lake.bronze}/{stored}",
             partitions,
             schema=(schemas or {}).get(stored),
+            whole=True,
         )
 
 
@@ -62,8 +64,25 @@ def staged_tables(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: staging.stage(bronze[name], rules) for name, rules, _ in _TABLES.values()}
 
 
+def rejects(bronze: DataFrame) -> DataFrame:
+    """Sales that silver leaves out, as JSON, and the rules they break: no key, or a broken rule."""
+    no_key = staging.without_key(bronze, staging.SALES).withColumn(
+        "broken_rules", F.array(F.lit(staging.SALES.key))
+    )
+    broken = rejected_sales(staging.stage(bronze, staging.SALES))
+
+    def listed(df: DataFrame) -> DataFrame:
+        record = F.struct(*[c for c in df.columns if c != "broken_rules"])
+        return df.select(F.to_json(record).alias("record"), "broken_rules")
+
+    return listed(no_key).unionByName(listed(broken))
+
+
 def build_silver(spark: SparkSession, lake: Lake, processed_at: datetime) -> DataFrame:
-    staged = staged_tables(bronze_tables(spark, lake))
+    """Valid sales, enriched, and next to them the rejected ones."""
+    bronze = bronze_tables(spark, lake)
+    write_parquet(rejects(bronze["sales"]), f"{lake.silver}/vendas_rejeitadas")
+    staged = staged_tables(bronze)
     enriched = enrich(
         valid_sales(staged["sales"]),
         staged["customers"],
@@ -71,7 +90,7 @@ def build_silver(spark: SparkSession, lake: Lake, processed_at: datetime) -> Dat
         staged["regions"],
         processed_at=processed_at,
     )
-    write_parquet(to_stored(enriched), f"{lake.silver}/vendas", _MONTH)
+    write_parquet(to_stored(enriched), f"{lake.silver}/vendas", _MONTH, whole=True)
     return silver_sales(spark, lake)
 
 
@@ -94,12 +113,12 @@ def build_gold(
     spark: SparkSession, lake: Lake, generated_at: datetime, year: int | None = None,
     month: int | None = None,
 ) -> DataFrame:
-    """The sales mart, all of it or one year or month; other months on disk stay as they are."""
+    """The sales mart, all of it, or one year or month while other months on disk stay."""
     mart = sales_mart(
         silver_sales(spark, lake), year=year, month=month, generated_at=generated_at
     )
     target = f"{lake.gold}/relatorio_vendas"
-    write_parquet(to_stored(mart), target, _MONTH)
+    write_parquet(to_stored(mart), target, _MONTH, whole=year is None)
     return from_stored(spark.read.parquet(target))
 
 

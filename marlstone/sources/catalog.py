@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
+_log = logging.getLogger(__name__)
+
 
-def tables_of(spark: SparkSession, database: str, root: str | None = None) -> dict[str, DataFrame]:
+def tables_of(
+    spark: SparkSession, database: str, root: str | None = None, unread: list[str] | None = None
+) -> dict[str, DataFrame]:
     """Name -> frame for every readable table of the database.
 
     A registered table that cannot be read is looked up at `<root>/<name>/`; one that is not there
-    either is left out.
+    either is left out, logged, and its name added to `unread`.
     """
     found = {}
     for table in spark.catalog.listTables(database):
@@ -18,6 +24,10 @@ def tables_of(spark: SparkSession, database: str, root: str | None = None) -> di
         df = _readable(spark, f"{database}.{table.name}", root and f"{root}/{table.name}/")
         if df is not None:
             found[table.name] = df
+        else:
+            _log.warning("%s.%s could not be read", database, table.name)
+            if unread is not None:
+                unread.append(table.name)
     return found
 
 

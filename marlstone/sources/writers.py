@@ -12,10 +12,18 @@ _log = logging.getLogger(__name__)
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), *, gather: bool = True
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    *,
+    gather: bool = True,
+    whole: bool = False,
 ) -> None:
     """Overwrite `path`; with `partition_by` only the partitions present in `df` are replaced.
 
+    `whole` replaces all of it: partitions that `df` does not have are removed. `df` must not read
+    from `path` then.
+
     `gather` brings the rows of a partition value together first, so that not every task leaves a
     file in every folder. Adaptive execution then evens the tasks out: it splits a value with many
     rows over several and merges small ones. Turn it off for rows that are gathered already.
@@ -24,7 +32,8 @@ def write_parquet(
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        mode = "static" if whole else "dynamic"
+        writer = writer.option("partitionOverwriteMode", mode).partitionBy(*partition_by)
     writer.parquet(path)
 
 
@@ -36,12 +45,13 @@ def csv_to_parquet(
     *,
     schema=None,
     ingested_at=None,
+    whole: bool = False,
 ) -> None:
     """CSV folder to Parquet folder with the audit timestamp."""
     from marlstone.sources.readers import read_csv, with_ingestion_time
 
     df = with_ingestion_time(read_csv(spark, source, schema), ingested_at)
-    write_parquet(df, target, partition_by)
+    write_parquet(df, target, partition_by, whole=whole)
 
 
 def dated_path(root: str, day: datetime, name: str) -> str:

@@ -82,16 +82,24 @@ def start_ingest(
 def batch_writer(
     target: str, event_time: str = "event_timestamp", processed_at=None
 ) -> Callable[[DataFrame, int], None]:
-    """Body for foreachBatch. Every batch has a folder of its own, which a retry overwrites."""
+    """Body for foreachBatch. Every batch has folders of its own below the time folders.
+
+    They are named by the query's id, which a new checkpoint changes, and the batch's; a retry
+    overwrites them. A body called outside a query takes "none" for the query's id.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        context = batch.sparkSession.sparkContext
+        query = context.getLocalProperty("sql.streaming.queryId") or "none"
         (
             with_event_partitions(batch, event_time, processed_at)
+            .withColumns({"query": F.lit(query), "batch": F.lit(batch_id)})
             .write.mode("overwrite")
-            .partitionBy(*PARTITIONS)
-            .json(f"{target}/batch={batch_id}")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*PARTITIONS, "query", "batch")
+            .json(target)
         )
 
     return write

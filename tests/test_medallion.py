@@ -158,3 +158,22 @@ def test_schema_changes_are_named(spark):
 
 def test_scratch_tables_go_to_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_folder(spark) + "/x-")
+
+
+def test_a_month_that_is_gone_goes_from_all_layers_and_rejects_are_kept(spark, tmp_path):
+    layers = lake(spark, tmp_path, SALES)
+    medallion.run(spark, layers, AS_OF, NOW)
+    bad = [
+        "5,2024-01-21,2024,1,1,100,1,0,10.00,0,10.00,Online,Concluída",
+        "x6,2024-01-21,2024,1,1,100,1,1,10.00,0,10.00,Online,Concluída",
+    ]
+    raw = tmp_path / "raw" / "vendas" / "part.csv"
+    raw.write_text("\n".join([SALES_HEAD, *SALES[:2], *bad]), encoding="utf-8")
+    medallion.ingest(spark, layers)
+    silver = medallion.build_silver(spark, layers, NOW)
+    mart = medallion.build_gold(spark, layers, NOW)
+    assert medallion.bronze_tables(spark, layers)["sales"].filter("month = 6").isEmpty()
+    assert silver.count() == 2 and silver.filter("month = 6").isEmpty()
+    assert mart.filter("month = 6").isEmpty()
+    kept = spark.read.parquet(f"{layers.silver}/vendas_rejeitadas").collect()
+    assert sorted(r.broken_rules for r in kept) == [["quantity"], ["sale_id"]]

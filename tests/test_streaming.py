@@ -50,6 +50,17 @@ def test_batches_have_their_own_folder(spark):
     assert places(spark, target) == [(1, 2024, 1, 31, 23), (2, 2024, 2, 1, 0)]
 
 
+def test_a_new_checkpoint_keeps_what_the_old_one_stored(spark):
+    folder, target, old, new = (scratch_path(spark, n) for n in ("in", "out", "old", "new"))
+    arrive(spark, folder, FIRST, SECOND)
+    run(spark, clicks.start_batch_ingest, folder, target, old)
+    later = scratch_path(spark, "later")
+    arrive(spark, later, THIRD)
+    run(spark, clicks.start_batch_ingest, later, target, new)
+    assert [p[0] for p in places(spark, target)] == [1, 2, 3]
+    assert spark.read.json(target).select("query").distinct().count() == 2
+
+
 def test_a_batch_tried_again_replaces_itself_and_an_empty_one_writes_nothing(spark):
     target = scratch_path(spark, "out")
     write = clicks.batch_writer(target, processed_at=NOW)
