@@ -269,6 +269,30 @@ def reject_counts(spark, sf_dir):
     return validity.reject_counts(fixtures.dirty_sales(spark, sf_dir))
 
 
+@register(
+    "rejected_sales",
+    with_ctes(
+        """
+select sale_id, customer_id, quantity, total_value, status, broken_rules from (
+  select *, concat_ws(',',
+    case when sale_id is null then 'sale_id' end,
+    case when customer_id is null then 'customer_id' end,
+    case when not coalesce(quantity > 0, false) then 'quantity' end,
+    case when not coalesce(total_value >= 0, false) then 'total_value' end,
+    case when not coalesce(status in ('Concluída', 'Cancelada', 'Em andamento'), false)
+      then 'status' end) as broken_rules
+  from dirty_sales)
+where broken_rules <> ''""",
+        "dirty_sales",
+    ),
+)
+def rejected_sales(spark, sf_dir):
+    return validity.rejected_sales(fixtures.dirty_sales(spark, sf_dir)).select(
+        "sale_id", "customer_id", "quantity", "total_value", "status",
+        F.array_join("broken_rules", ",").alias("broken_rules"),
+    )
+
+
 @register(
     "high_value_flag",
     with_ctes(
