@@ -141,15 +141,6 @@ def chunks(batch: pa.RecordBatch, text: str, most: int = 1 << 20) -> Iterator[pa
         at = to
 
 
-def binary_list(values: np.ndarray, first: np.ndarray) -> pa.Array:
-    """One binary value per row from the flat array cut at `first`."""
-    data = np.ascontiguousarray(values)
-    offsets = (np.asarray(first) * data.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(
-        pa.binary(), len(first) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]
-    )
-
-
 def long_list(values: np.ndarray, first: np.ndarray) -> pa.Array:
     """One list of longs per row from the flat array cut at `first`."""
     return pa.ListArray.from_arrays(pa.array(np.asarray(first).astype(np.int32)), pa.array(values.view(np.int64)))

@@ -22,16 +22,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.arrays import GOLDEN, Texts, Words, binary_list, chunks, long_list, mix, shingles
+from marlstone.llm.arrays import GOLDEN, Texts, Words, chunks, long_list, mix, shingles
 from marlstone.llm.components import components
 from marlstone.sources.scratch import written
 
 # A pair of similarity 0.8 misses all bands with probability (1 - 0.8 ** 6) ** 42 = 3e-6.
 BANDS, BAND_ROWS = 42, 6
 _SHINGLES_AT_ONCE = 4096
+_BYTES_AT_ONCE = 1 << 20
 _LOW = np.uint64(0xFFFFFFFF)
 _HALF = np.uint64(32)
 
@@ -127,14 +129,17 @@ def near_duplicates(
     pairs = written(pairs, "pairs")
 
     involved = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    # Texts travel packed: a set of 64-bit hashes is several times as long and does not compress.
     # Merged at every size, since these ids grow with the corpus.
-    sets = written(given.join(involved.hint("merge"), "id", "left_semi").mapInArrow(_sets(shingle), "id long, items binary"), "sets")
-    linked = written(_verified(pairs, sets, percent), "verified")
+    packed = given.filter("id IS NOT NULL").mapInArrow(_pack, "id long, packed binary")
+    packed = packed.join(involved.hint("merge"), "id", "left_semi")
+    texts = written(packed.mapInArrow(_sized(shingle), "id long, packed binary, n long"), "texts")
+    linked = written(_verified(pairs, texts, shingle, percent), "verified")
     first = written(components(linked), "components")
 
     # Second step: candidates that the first one left in different components.
-    across = written(_across(bucketed, pairs, first, sets, percent), "across")
-    more = written(_verified(across, sets, percent), "verified")
+    across = written(_across(bucketed, pairs, first, texts, shingle, percent), "across")
+    more = written(_verified(across, texts, shingle, percent), "verified")
     classes = components(linked.union(more))
 
     known = same.drop("bands").join(classes.withColumnRenamed("id", "node"), "node", "left")
@@ -151,7 +156,9 @@ def near_duplicates(
     )
 
 
-def _across(bucketed: DataFrame, compared: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across(
+    bucketed: DataFrame, compared: DataFrame, placed: DataFrame, texts: DataFrame, shingle: int, percent: int
+) -> DataFrame:
     """Pairs (a, b) of one centre, of different components and not compared yet, that may be linked.
 
     Among near copies of one text whose similarity lies around the threshold, hardly any pair of
@@ -171,32 +178,31 @@ def _across(bucketed: DataFrame, compared: DataFrame, placed: DataFrame, sets: D
     # A group of two has one pair, which has been compared.
     parts = group.groupBy("centre").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
     group = group.join(parts.filter("size > 2 AND low < high").select("centre", "size"), "centre")
-    items = sets.dropDuplicates(["id"]).select(F.col("id").alias("node"), "items")
-    group = written(group.join(items, "node"), "groups")
+    own_text = texts.select(F.col("id").alias("node"), "packed").dropDuplicates(["node"])
+    group = written(group.join(own_text, "node"), "groups")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
-                values = [np.frombuffer(x.as_buffer(), np.int64) for x in piece.column("items")]
-                repeat = pa.array(np.repeat(np.arange(len(values)), [len(v) for v in values]))
-                item = pa.array(np.concatenate(values) if values else np.zeros(0, np.int64))
-                yield pa.RecordBatch.from_arrays([*[piece.column(c).take(repeat) for c in ("centre", "size")], item], ["centre", "size", "item"])
-
-    held = group.select("centre", "size", "items").mapInArrow(spread, "centre long, size long, item long")
+        for piece in _pieces(batches, "packed"):
+            value, first = _shingles(piece.column("packed"), shingle)
+            repeat = pa.array(np.repeat(np.arange(piece.num_rows), np.diff(first)))
+            columns = [piece.column(c).take(repeat) for c in ("centre", "size")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(value.view(np.int64))], ["centre", "size", "item"])
+
+    held = group.select("centre", "size", "packed").mapInArrow(spread, "centre long, size long, item long")
     most = held.groupBy("centre", "size", "item").count().filter("2 * count > size")
     reference = most.groupBy("centre").agg(F.sort_array(F.collect_list("item")).alias("reference"))
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own, excess = [], []
-            for items, reference in zip(batch.column("items"), batch.column("reference"), strict=True):
-                x = np.frombuffer(items.as_buffer(), np.int64)
+        for piece in _pieces(batches, "packed"):
+            value, first = _shingles(piece.column("packed"), shingle)
+            own, excess = [np.zeros(0, np.int64)], []
+            for row, reference in enumerate(piece.column("reference")):
+                x = value[first[row] : first[row + 1]].view(np.int64)
                 own.append(np.setxor1d(x, reference.values.to_numpy() if reference.is_valid else x[:0], assume_unique=True))
                 excess.append((100 + percent) * len(own[-1]) - (100 - percent) * len(x))
-            first = np.concatenate([[0], np.cumsum([len(d) for d in own])])
-            lists = long_list(np.concatenate(own), first)
+            lists = long_list(np.concatenate(own), np.cumsum([len(d) for d in own]))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("centre", "node", "component")], pa.array(excess, pa.int64()), lists],
+                [*[piece.column(c) for c in ("centre", "node", "component")], pa.array(excess, pa.int64()), lists],
                 ["centre", "node", "component", "excess", "own"],
             )
 
@@ -229,35 +235,64 @@ def _across(bucketed: DataFrame, compared: DataFrame, placed: DataFrame, sets: D
     return found.join(compared, ["a", "b"], "left_anti")
 
 
-def _sets(shingle: int):
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor()
+    for batch in (piece for whole in batches for piece in chunks(whole, "text")):
+        packed = [press.compress(text.as_buffer() or b"") for text in batch.column("text").cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], ["id", "packed"])
+
+
+def _shingles(packed: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle sets of packed texts."""
+    unpack = zstandard.ZstdDecompressor()
+    texts = [unpack.decompress(text.as_buffer()) for text in packed]
+    return shingles(Words(Texts.of(pa.array(texts, pa.large_binary())).lower()), len(texts), shingle)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], *packed: str) -> Iterator[pa.RecordBatch]:
+    """Batches cut between rows so that their texts, unpacked, have about as many bytes as are worked on at once."""
+    for batch in batches:
+        size = np.zeros(batch.num_rows, np.int64)
+        for column in packed:
+            size += np.array([zstandard.frame_content_size(text.as_buffer()) for text in batch.column(column)], np.int64)
+        total, at = np.cumsum(size), 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _BYTES_AT_ONCE, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _sized(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (piece for whole in batches for piece in chunks(whole, "text")):
-            texts = Texts.of(batch.column("text")).lower()
-            value, first = shingles(Words(texts), len(texts), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), binary_list(value, first)], ["id", "items"])
+        for piece in _pieces(batches, "packed"):
+            n = np.diff(_shingles(piece.column("packed"), shingle)[1])
+            yield pa.RecordBatch.from_arrays([*piece.select(["id", "packed"]).columns, pa.array(n, pa.int64())], ["id", "packed", "n"])
 
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    one = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("left")), "a")
-    two = one.join(sets.select(F.col("id").alias("b"), F.col("items").alias("right")), "b")
     # Sizes alone bound the similarity from above.
-    small, large = F.least(F.octet_length("left"), F.octet_length("right")), F.greatest(F.octet_length("left"), F.octet_length("right"))
-    two = two.filter(100 * small >= percent * large)
+    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    sizes = texts.select("id", "n").distinct()
+    likely = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+    likely = likely.filter(100 * small >= percent * large).select("a", "b").distinct()
+    own = texts.select("id", "packed")
+    both = likely.join(own.toDF("a", "left"), "a").join(own.toDF("b", "right"), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for piece in _pieces(batches, "left", "right"):
+            left, at = _shingles(piece.column("left"), shingle)
+            right, to = _shingles(piece.column("right"), shingle)
             keep = []
-            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
-                x, y = (np.frombuffer(side.as_buffer(), np.uint64) for side in (left, right))
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                both = int((x[at] == y).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return two.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
+            for row in range(piece.num_rows):
+                x, y = left[at[row] : at[row + 1]], right[to[row] : to[row + 1]]
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * shared >= percent * (len(x) + len(y) - shared) > 0)
+            yield piece.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
