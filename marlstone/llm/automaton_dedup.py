@@ -141,7 +141,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """(key, n_words, n_removed, kept_sha256) of every row."""
     given = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     schema = "id long, n_words long, n_removed long, kept_sha256 string"
-    return repeated_windows(given, word_units, SIZE, _GRAM, solve, True, _digest, schema).withColumnRenamed("id", key)
+    found = repeated_windows(given, word_units, SIZE, _GRAM, solve, True, _digest, schema, packed=True)
+    return found.withColumnRenamed("id", key)
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

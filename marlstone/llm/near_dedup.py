@@ -22,18 +22,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.arrays import GOLDEN, Texts, Words, chunks, long_list, mix, shingles
+from marlstone.llm.arrays import GOLDEN, Texts, Words, chunks, long_list, mix, pack, packed_chunks, shingles, unpack
 from marlstone.llm.components import components
 from marlstone.sources.scratch import written
 
 # A pair of similarity 0.8 misses all bands with probability (1 - 0.8 ** 6) ** 42 = 3e-6.
 BANDS, BAND_ROWS = 42, 6
 _SHINGLES_AT_ONCE = 4096
-_BYTES_AT_ONCE = 1 << 20
 _LOW = np.uint64(0xFFFFFFFF)
 _HALF = np.uint64(32)
 
@@ -182,7 +180,7 @@ def _across(
     group = written(group.join(own_text, "node"), "groups")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _pieces(batches, "packed"):
+        for piece in (piece for batch in batches for piece in packed_chunks(batch, "packed")):
             value, first = _shingles(piece.column("packed"), shingle)
             repeat = pa.array(np.repeat(np.arange(piece.num_rows), np.diff(first)))
             columns = [piece.column(c).take(repeat) for c in ("centre", "size")]
@@ -193,7 +191,7 @@ def _across(
     reference = most.groupBy("centre").agg(F.sort_array(F.collect_list("item")).alias("reference"))
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _pieces(batches, "packed"):
+        for piece in (piece for batch in batches for piece in packed_chunks(batch, "packed")):
             value, first = _shingles(piece.column("packed"), shingle)
             own, excess = [np.zeros(0, np.int64)], []
             for row, reference in enumerate(piece.column("reference")):
@@ -236,35 +234,18 @@ def _across(
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdCompressor()
     for batch in (piece for whole in batches for piece in chunks(whole, "text")):
-        packed = [press.compress(text.as_buffer() or b"") for text in batch.column("text").cast(pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], ["id", "packed"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pack(batch.column("text"))], ["id", "packed"])
 
 
 def _shingles(packed: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingle sets of packed texts."""
-    unpack = zstandard.ZstdDecompressor()
-    texts = [unpack.decompress(text.as_buffer()) for text in packed]
-    return shingles(Words(Texts.of(pa.array(texts, pa.large_binary())).lower()), len(texts), shingle)
-
-
-def _pieces(batches: Iterator[pa.RecordBatch], *packed: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut between rows so that their texts, unpacked, have about as many bytes as are worked on at once."""
-    for batch in batches:
-        size = np.zeros(batch.num_rows, np.int64)
-        for column in packed:
-            size += np.array([zstandard.frame_content_size(text.as_buffer()) for text in batch.column(column)], np.int64)
-        total, at = np.cumsum(size), 0
-        while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _BYTES_AT_ONCE, side="right")))
-            yield batch.slice(at, to - at)
-            at = to
+    return shingles(Words(Texts.of(unpack(packed)).lower()), len(packed), shingle)
 
 
 def _sized(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _pieces(batches, "packed"):
+        for piece in (piece for batch in batches for piece in packed_chunks(batch, "packed")):
             n = np.diff(_shingles(piece.column("packed"), shingle)[1])
             yield pa.RecordBatch.from_arrays([*piece.select(["id", "packed"]).columns, pa.array(n, pa.int64())], ["id", "packed", "n"])
 
@@ -282,7 +263,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     both = likely.join(own.toDF("a", "left"), "a").join(own.toDF("b", "right"), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _pieces(batches, "left", "right"):
+        for piece in (piece for batch in batches for piece in packed_chunks(batch, "left", "right")):
             left, at = _shingles(piece.column("left"), shingle)
             right, to = _shingles(piece.column("right"), shingle)
             keep = []

@@ -21,7 +21,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.arrays import _BYTE, _P, GOLDEN, Texts, Words, _power, chunks, mix, run_index
+from marlstone.llm.arrays import _BYTE, _P, GOLDEN, Texts, Words, _power, chunks, mix, pack, packed_chunks, run_index, unpack
 from marlstone.sources.scratch import written
 
 HOT = 50_000
@@ -110,6 +110,7 @@ def repeated_windows(
     earlier: bool,
     digest: Callable[[list, Units, list[np.ndarray]], pa.RecordBatch],
     digest_schema: str,
+    packed: bool = False,
 ) -> DataFrame:
     """The digest of every row of docs (id, text), given the windows that occur elsewhere.
 
@@ -117,7 +118,20 @@ def repeated_windows(
     returns (id, first, count) of the windows that repeat. With `earlier`, a window repeats if it
     also starts in a document with a smaller id, else if it starts anywhere else.
     `digest` gets the ids, the units, and for every row the starts of its repeated windows.
+    With `packed`, texts are compressed on their way between steps, which trades CPU time for disk.
     """
+    text_type = "binary" if packed else "string"
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from packed_chunks(batch, "text") if packed else chunks(batch, "text")
+
+    def units_in(text: pa.Array) -> Units:
+        return units_of(Texts.of(unpack(text) if packed else text))
+
+    def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (piece for whole in batches for piece in chunks(whole, "text")):
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pack(batch.column("text"))], ["id", "text"])
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in chunks(whole, "text")):
@@ -132,32 +146,33 @@ def repeated_windows(
     counted = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), *([F.min("id").alias("low"), F.max("id").alias("high")] if earlier else []))
     again = counted.filter(several).select("anchor", (F.col("n") > HOT).alias("hot"))
     places = rows.join(again, "anchor").groupBy("id").agg(F.collect_list(F.struct("at", "hot")).alias("places"))
-    joined = docs.join(places, "id", "left").select("id", "text", F.col("places.at").alias("at"), F.col("places.hot").alias("hot"))
+    stored = docs.select("id", "text").mapInArrow(packing, "id long, text binary") if packed else docs
+    joined = stored.join(places, "id", "left").select("id", "text", F.col("places.at").alias("at"), F.col("places.hot").alias("hot"))
 
     # Rows without a repeated anchor are done; the text of the others is kept for the next steps.
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (piece for whole in batches for piece in chunks(whole, "text")):
+        for batch in pieces(batches):
             open_ = batch.column("at").is_valid()
             done = batch.filter(pa.compute.invert(open_))
             if done.num_rows:
-                units = units_of(Texts.of(done.column("text")))
+                units = units_in(done.column("text"))
                 out = digest(done.column("id").to_pylist(), units, [np.zeros(0, np.int64)] * done.num_rows)
-                yield _with(out, done.num_rows, None)
+                yield _with(out, done.num_rows, None, packed)
             left = batch.filter(open_)
             if left.num_rows:
                 empty = digest([], units_of(Texts.of(pa.array([], pa.string()))), [])
                 blank = [pa.nulls(left.num_rows, f.type) if f.name != "id" else left.column("id") for f in empty.schema]
-                yield _with(pa.RecordBatch.from_arrays(blank, empty.schema.names), left.num_rows, left)
+                yield _with(pa.RecordBatch.from_arrays(blank, empty.schema.names), left.num_rows, left, packed)
 
-    kept = written(joined.mapInArrow(settle, f"{digest_schema}, text string, at array<int>, hot array<boolean>"), "settled")
+    kept = written(joined.mapInArrow(settle, f"{digest_schema}, text {text_type}, at array<int>, hot array<boolean>"), "settled")
     waiting = kept.filter("at IS NOT NULL").select("id", "text", "at", "hot")
     total = waiting.agg(F.coalesce(F.sum(F.size("at")), F.lit(0))).first()[0]
     groups = max(1, -(-total // _GROUP_RUNS))
 
     def emit(hot: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in (piece for whole in batches for piece in chunks(whole, "text")):
-                units = units_of(Texts.of(batch.column("text")))
+            for batch in pieces(batches):
+                units = units_in(batch.column("text"))
                 found = runs(units, size, k)
                 n = pa.compute.list_value_length(batch.column("at")).to_numpy(zero_copy_only=False)
                 at = batch.column("at").flatten().to_numpy() + np.repeat(units.first[:-1], n)
@@ -203,8 +218,8 @@ def repeated_windows(
     ready = ready.select("id", "text", F.col("spans.first").alias("first"), F.col("spans.count").alias("count"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (piece for whole in batches for piece in chunks(whole, "text")):
-            units = units_of(Texts.of(batch.column("text")))
+        for batch in pieces(batches):
+            units = units_in(batch.column("text"))
             starts = []
             for first, count in zip(batch.column("first"), batch.column("count"), strict=True):
                 if first.is_valid:
@@ -218,8 +233,8 @@ def repeated_windows(
     return kept.filter("at IS NULL").select(*columns).union(ready.mapInArrow(finish, digest_schema))
 
 
-def _with(out: pa.RecordBatch, n: int, left: pa.RecordBatch | None) -> pa.RecordBatch:
-    types = {"text": pa.string(), "at": pa.list_(pa.int32()), "hot": pa.list_(pa.bool_())}
+def _with(out: pa.RecordBatch, n: int, left: pa.RecordBatch | None, packed: bool) -> pa.RecordBatch:
+    types = {"text": pa.binary() if packed else pa.string(), "at": pa.list_(pa.int32()), "hot": pa.list_(pa.bool_())}
     more = [pa.nulls(n, t) if left is None else left.column(c).cast(t) for c, t in types.items()]
     return pa.RecordBatch.from_arrays([*out.columns, *more], [*out.schema.names, *types])
 
