@@ -144,7 +144,8 @@ def repeated_windows(
     rows = docs.filter("id IS NOT NULL").select("id", "text").mapInArrow(anchors, "anchor long, id long, at int")
     several = "low < high" if earlier else "n > 1"
     counted = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), *([F.min("id").alias("low"), F.max("id").alias("high")] if earlier else []))
-    again = counted.filter(several).select("anchor", (F.col("n") > HOT).alias("hot"))
+    # Written, so that the next join is of two plain shuffles, whose hot anchors adaptive execution splits.
+    again = written(counted.filter(several).select("anchor", (F.col("n") > HOT).alias("hot")), "again")
     places = rows.join(again, "anchor").groupBy("id").agg(F.collect_list(F.struct("at", "hot")).alias("places"))
     stored = docs.select("id", "text").mapInArrow(packing, "id long, text binary") if packed else docs
     joined = stored.join(places, "id", "left").select("id", "text", F.col("places.at").alias("at"), F.col("places.hot").alias("hot"))
