@@ -45,6 +45,14 @@ def _power(base: int, n: int) -> np.ndarray:
     return _powers[base][:n]
 
 
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes start .. end - 1 of each run."""
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _power(_P, len(data)), out=total[1:])
+    inverse = _power(pow(_P, -1, 1 << 64), len(data) + 1)
+    return mix((total[end] - total[start]) * inverse[start])
+
+
 class Texts:
     """UTF-8 bytes of consecutive documents: `data`, and `starts` with one entry more than rows."""
 
@@ -90,10 +98,7 @@ class Words:
         self.start, self.end = np.flatnonzero(begins[: n + 1]), np.flatnonzero(ends[: n + 1])
         self.first = np.searchsorted(self.start, texts.starts)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[texts.data] * _power(_P, n), out=total[1:])
-        inverse = _power(pow(_P, -1, 1 << 64), n + 1)
-        self.hash = mix((total[self.end] - total[self.start]) * inverse[self.start])
+        self.hash = run_hashes(texts.data, self.start, self.end)
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, place) of the runs of k words inside one row, by their first word."""

@@ -7,6 +7,8 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,6 +224,65 @@ def test_word_probabilities_of_a_byte_sum_to_one():
     assert np.exp(own[first].sum(1)).sum() == pytest.approx(1, abs=0.01)
 
 
+def test_mixing_counts_are_exact_across_shelves():
+    rng = random.Random(3)
+    words = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 7))) for _ in range(900)} | {mixing.END, b"z" * 400})
+    times = np.array([rng.randrange(4) for _ in words])
+    expected = Counter()
+    for word, n in zip(words, times.tolist(), strict=True):
+        whole = word if word == mixing.END else word + b" "
+        for at in range(len(whole)):
+            for bit in range(9):
+                expected[whole[:at], bit, whole[at] >> 8 - bit] += n
+    press = mixing.zstandard.ZstdCompressor().compress
+    cuts = [(0, 100), (100, 101), (101, 300), (300, len(words))]
+    assert len(words) > 400
+    rows = [{"shelf": a, "words": press(b" ".join(words[a:b])), "n": press(times[a:b].tobytes())} for a, b in cuts]
+    parts = pa.Table.from_batches(mixing._beginnings([pa.RecordBatch.from_pylist(rows)]))
+    total = parts.group_by(["prefix", "byte"]).aggregate([("n", "sum")])
+    for a, b in cuts:
+        places = mixing.Places(words[a:b])
+        own = total.filter(pc.is_in(total["prefix"], parts.filter(pc.equal(parts["shelf"], a))["prefix"].combine_chunks()))
+        prefix, byte, n = (own[c].to_numpy() for c in ("prefix", "byte", "n_sum"))
+        got = places.so_far(times[a:b], prefix.view(np.uint64), byte, n)
+        for at in range(len(places.data)):
+            before, byte = bytes(places.data[at - places.place[at] : at]), int(places.data[at])
+            for bit in range(8):
+                start = byte >> 8 - bit << 1
+                assert got[:, at, bit].tolist() == [expected[before, bit + 1, start + value] for value in (0, 1)]
+
+
+def test_mixing_learns_from_every_training_word(spark):
+    rng = random.Random(4)
+    held = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(50)) for _ in range(2)]
+    train = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(1000)) for _ in range(60)]
+    frame = spark.createDataFrame(list(enumerate(held + train)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in mixing.score(frame, "doc_id", "text", F.col("doc_id") < 2).collect()}
+    seen = Counter(w for t in train for w in [*_words(t), mixing.END])
+    words = sorted(set(seen) | {w for t in held for w in _words(t)})
+    times = np.array([seen[w] for w in words])
+    assert len(seen) > 20_000
+    # The same, of one shelf that holds all words.
+    places = mixing.Places(words)
+    slots, bit, gate, known, word = places.bits(slice(None))
+    counts = np.zeros((2, mixing.LOW))
+    for own in slots:
+        np.add.at(counts, (bit, own), times[word])
+    press = mixing.zstandard.ZstdCompressor().compress
+    row = {"shelf": 0, "words": press(b" ".join(words)), "n": press(times.tobytes())}
+    ends = next(mixing._beginnings([pa.RecordBatch.from_pylist([row])]))
+    ends = [ends[c].to_numpy() for c in ("prefix", "byte", "n")]
+    slots = np.vstack([slots, mixing.LOW + np.arange(len(bit))])
+    mixer = start = mixing.Mixer.new(np.hstack([counts, places.so_far(times, ends[0].view(np.uint64), *ends[1:]).reshape(2, -1)]))
+    for _ in range(mixing.TURNS):
+        mixer = mixer.moved(mixer.slopes(slots, bit, gate, times[word]), start.weight)
+    mixer = mixer.refined_by(mixer.followed(slots, bit, gate, known, times[word]))
+    one = mixer.probability(slots, gate, known)
+    value = dict(zip(words, np.bincount(word, np.log10(np.where(bit == 1, one, 1 - one))), strict=True))
+    for i, text in enumerate(held + train):
+        assert got[i] == pytest.approx(sum(value[w] for w in [*_words(text), mixing.END]), rel=1e-4)
+
+
 def test_classifiers_learn_and_take_any_row(spark, docs):
     en = ["the cat sat on the mat with that other thing", "this is the thing that the others with them"]
     fr = ["le chat est sur la table avec une autre chose", "la maison est dans une rue avec les autres"]
