@@ -6,8 +6,9 @@ counted over all documents, is scored in turns: a pattern is as good as the shar
 that are known personal data of one kind, an instance is as good as its best accepted pattern.
 Instances that no fixed form covers, but that stand in an accepted pattern, are found as well.
 
-Everything is a DataFrame expression. A pattern is accepted only if it covers at least 1/1000 of
-all seeds of its kind, so there are never more than 1000 patterns a kind, and they fit into the plan.
+Everything is a DataFrame expression. A pattern is accepted from three known instances on, at every
+size of the corpus. The accepted patterns are a table, joined to the instances by the left word, so their
+number has no bound; Spark splits a hot word.
 
 Regexes never look back over a run of characters they have passed, so that long runs of digits or
 letters cost no more than other text.
@@ -36,9 +37,9 @@ _INSTANCE = rf"(?:\G|(?<!{_WORD}]))(?:{_WORD}0-9@])*+[0-9@]{_WORD}]*+"
 _NEEDS = {"email": "@", "phone": "+"}
 CONFIDENCE = 0.8
 SUPPORT = 3
-SUPPORT_SHARE = 0.001
 TURNS = 3
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
+_ROW = "_private_row"
 _INSTANCES = "array<struct<start:int,end:int,word:string,left:string>>"
 
 
@@ -97,54 +98,48 @@ def extract(docs: DataFrame, text: str = "text") -> DataFrame:
         bare = F.regexp_replace(m["match"], r"""^[("'<\[{]++""", "")
         start = m["start"] + F.char_length(m["match"]) - F.char_length(bare)
         bare = F.regexp_replace(bare, r"""(?<![.,;:!?)"'>\]}])[.,;:!?)"'>\]}]++$""", "")
-        left = F.lower(F.regexp_extract(F.right(m["before"], F.lit(64)), r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
+        left = F.lower(F.regexp_extract(m["before"], rf"(?<!{_WORD}])({_WORD}]++)[\x20\x09-\x0D]++$", 1))
         return F.struct(start.alias("start"), (start + F.char_length(bare)).alias("end"), bare.alias("word"), left.alias("left"))
 
     return out.withColumn("instances", F.transform(_matches(value, _INSTANCE, None), instance).cast(_INSTANCES))
 
 
-def patterns(extracted: DataFrame) -> dict[str, int]:
-    """{left word: number of the kind} of the accepted patterns of an extracted corpus."""
+def patterns(extracted: DataFrame) -> DataFrame:
+    """(left, as): left word and number of the kind of the accepted patterns of an extracted corpus."""
     one = extracted.select("base", F.explode("instances").alias("i")).filter("i.left <> '' AND i.word <> ''")
     cover = F.filter("base", lambda b: (b["start"] < F.col("i.end")) & (b["end"] > F.col("i.start")))
     edges = one.select("i.left", F.lower("i.word").alias("word"), F.coalesce(F.try_element_at(cover, F.lit(1))["kind"], F.lit(-1)).alias("kind"))
     edges = written(edges.groupBy("left", "word", "kind").agg(F.count(F.lit(1)).alias("n")), "edges")
-    # A pattern that does not stand before three seeds can never be accepted in the first turn.
-    seeds = {r[0]: r[1] for r in edges.filter("kind >= 0").groupBy("kind").agg(F.sum("n")).collect()}
-    if not seeds:
-        return {}
-    least = F.create_map(*[F.lit(x) for k, n in seeds.items() for x in (k, max(float(SUPPORT), SUPPORT_SHARE * n))])
     scores = edges.filter("kind >= 0").select("word", "kind", F.lit(1.0).alias("score")).distinct()
-    accepted: dict[str, int] = {}
+    before = None
     for _ in range(TURNS):
         total = edges.groupBy("left").agg(F.sum("n").alias("total"))
         known = edges.select("left", "word", "n").groupBy("left", "word").agg(F.sum("n").alias("n")).join(scores, "word")
-        good = known.groupBy("left", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("mass")).filter(F.col("mass") >= least[F.col("kind")])
+        good = known.groupBy("left", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("mass")).filter(F.col("mass") >= SUPPORT)
         rated = good.join(total, "left").select("left", "kind", (F.col("mass") / F.col("total")).alias("confidence"))
         rated = rated.filter(F.col("confidence") >= CONFIDENCE).groupBy("left").agg(F.max(F.struct("confidence", "kind")).alias("best"))
-        chosen = rated.select("left", "best.kind", "best.confidence")
-        before, accepted = accepted, {r["left"]: r["kind"] for r in chosen.collect()}
-        if accepted == before:
+        chosen = written(rated.select("left", F.col("best.kind").alias("as"), "best.confidence"), "patterns")
+        now = chosen.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(left, `as`))")).first()
+        if now == before:
             break
-        fresh = edges.join(F.broadcast(chosen.select("left", F.col("kind").alias("as"), "confidence")), "left")
+        before = now
+        fresh = edges.join(chosen, "left")
         fresh = fresh.select("word", F.col("as").alias("kind"), F.col("confidence").alias("score"))
         seen = edges.filter("kind >= 0").select("word", "kind", F.lit(1.0).alias("score"))
         scores = written(fresh.union(seen).groupBy("word", "kind").agg(F.max("score").alias("score")), "scores")
-    return accepted
+    return chosen.select("left", "as")
 
 
-def found(base: Column, instances: Column, accepted: dict[str, int]) -> Column:
-    """Spans (as in base) of instances in accepted patterns that no base span touches."""
-    if not accepted:
-        return F.array().cast(_SPAN)
-    kinds = F.create_map(*[F.lit(x) for left, kind in sorted(accepted.items()) for x in (left, kind)])
+def found(extracted: DataFrame) -> DataFrame:
+    """Add `more` to a written corpus: spans (as in base) of instances in accepted patterns that no base span touches."""
     new = F.filter(
-        instances,
-        lambda i: F.map_contains_key(kinds, i["left"])
-        & (i["end"] > i["start"])
-        & ~F.exists(base, lambda b: (b["start"] < i["end"]) & (b["end"] > i["start"])),
+        "instances",
+        lambda i: (i["left"] != "") & (i["end"] > i["start"]) & ~F.exists("base", lambda b: (b["start"] < i["end"]) & (b["end"] > i["start"])),
     )
-    return F.transform(new, lambda i: F.struct(i["start"].alias("start"), kinds[i["left"]].alias("kind"), i["end"].alias("end"))).cast(_SPAN)
+    one = extracted.select(_ROW, F.explode(new).alias("i")).select(_ROW, "i.start", "i.end", "i.left")
+    one = one.join(patterns(extracted), "left").select(_ROW, F.struct("start", F.col("as").alias("kind"), "end").alias("span"))
+    more = one.groupBy(_ROW).agg(F.array_sort(F.collect_list("span")).cast(_SPAN).alias("more"))
+    return extracted.join(more, _ROW, "left").withColumn("more", F.coalesce("more", F.array().cast(_SPAN)))
 
 
 def span_text(spans: Column) -> Column:
@@ -160,9 +155,8 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     column n_chars, which is counted anew.
     """
     columns = docs.columns
-    extracted = extract(docs, text)
-    accepted = patterns(extracted)
-    spans = F.array_sort(F.concat("base", found(F.col("base"), F.col("instances"), accepted)))
+    extracted = found(written(extract(docs, text).withColumn(_ROW, F.monotonically_increasing_id()), "private"))
+    spans = F.array_sort(F.concat("base", "more"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -183,13 +177,12 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def op2(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    extracted = written(extract(docs).drop("text"), "private")
-    more = found(F.col("base"), F.col("instances"), patterns(extracted))
+    extracted = found(written(extract(docs).drop("text").withColumn(_ROW, F.monotonically_increasing_id()), "private"))
     counts = [_count(number).alias(f"n_{kind}") for number, kind in enumerate(KINDS)]
     return extracted.select(
         "doc_id",
         *counts,
         F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
-        span_text(F.array_sort(F.concat("base", more))).alias("spans"),
-        F.size(more).cast("long").alias("n_found"),
+        span_text(F.array_sort(F.concat("base", "more"))).alias("spans"),
+        F.size("more").cast("long").alias("n_found"),
     )

@@ -177,6 +177,20 @@ def test_private_data_forms_contexts_and_redaction(spark):
     assert text[52] == "[EMAIL], [IP] and [CARD]"
 
 
+def test_private_data_patterns_do_not_depend_on_a_hot_source(spark):
+    label = "l" * 90
+    rows = [(i, f"please call +1 555 123 45{i % 100:02d} now") for i in range(4)]
+    rows += [(10 + i, f"{label}{' ' * 80}+1 555 123 46{i:02d} now") for i in range(4)]
+    rows += [(20, "please call 0171-99 now"), (21, f"{label}{' ' * 80}0171-98 now"), (22, f"x{label} 0171-97 now")]
+    # 5,000 more phones behind another word: a share of all seeds would drop the others.
+    rows += [(100 + i, " ".join(f"dial +1 555 {i:03d} {k:04d} ;" for k in range(100))) for i in range(50)]
+    text = {r.doc_id: r.text for r in private_data.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(text) == len(rows)
+    assert text[20] == "please call [PHONE] now"
+    assert text[21] == f"{label}{' ' * 80}[PHONE] now"
+    assert text[22] == f"x{label} 0171-97 now"
+
+
 def test_leaks_equal_brute_force(spark, docs, texts):
     items = [(0, texts[0]), (1, " ".join(texts[45].split()[3:40])), (2, None), (3, "a a"), (4, "nowhere at all to be found here")]
     frame = spark.createDataFrame(items, "item_id long, text string")
