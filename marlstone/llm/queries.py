@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.llm import (
     automaton_dedup,
+    conversations,
     decontaminate,
     language,
     mixing,
@@ -44,6 +45,7 @@ QUERIES: dict[str, Query] = {
         "op8_decontaminate": decontaminate.op8,
         "op9_mixing": mixing.op9,
         "op10_suffix_dedup": suffix_dedup.op10,
+        "op11_conversations": conversations.op11,
     }.items()
 }
 
