@@ -18,6 +18,7 @@ from marlstone.llm import (
     quality,
     search,
     suffix_dedup,
+    warc,
 )
 from marlstone.llm.ship import ship
 
@@ -46,6 +47,7 @@ QUERIES: dict[str, Query] = {
         "op9_mixing": mixing.op9,
         "op10_suffix_dedup": suffix_dedup.op10,
         "op11_conversations": conversations.op11,
+        "op12_warc": warc.op12,
     }.items()
 }
 
@@ -68,4 +70,17 @@ SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_warc": """
+        WITH paid AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+        ),
+        latest AS (SELECT digest, max(page_id) AS page_id FROM paid GROUP BY digest)
+        SELECT p.page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+                   (CAST('0x' || substr(digest, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)
+                   FOR i IN range(32)], '') AS payload_digest,
+               CASE WHEN p.page_id IS NOT DISTINCT FROM l.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN p.page_id IS DISTINCT FROM l.page_id THEN l.page_id END AS refers_to
+        FROM paid p JOIN latest l USING (digest)
+    """,
 }
