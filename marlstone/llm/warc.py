@@ -44,6 +44,8 @@ FILE_BYTES = 1 << 30
 BLOCK_LINES = 2000
 # Ranges of one file that lie this close are read at once, up to this much.
 GAP, RANGE_BYTES = 1 << 16, 8 << 20
+# What one task reads of one file.
+PIECE_BYTES = 16 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "1970-01-01T00:00:00Z"
 
@@ -281,9 +283,13 @@ def _places(found: list) -> pa.RecordBatch:
     )
 
 
-def fetch(places: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
+def fetch(places: DataFrame, folder: str, with_payload: bool = True, tasks: int | None = None) -> DataFrame:
     """The records at these places: page_id, url, payload_bytes, payload_digest, record_type,
-    refers_to and, if wanted, payload (null for revisits)."""
+    refers_to and, if wanted, payload (null for revisits).
+
+    Places are far smaller than what is read for them, so tasks are better counted by `reading_tasks`
+    than left to the size of the places.
+    """
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
     schema += ", payload binary" if with_payload else ""
     names = [field.split()[0] for field in schema.split(", ")]
@@ -313,15 +319,20 @@ def fetch(places: DataFrame, folder: str, with_payload: bool = True) -> DataFram
         if stream is not None:
             stream.close()
 
-    # Pieces of files, so that a large file is read by many tasks.
-    pieces = places.repartition("file", F.floor(F.col("offset") / (64 << 20)))
+    piece = ("file", F.floor(F.col("offset") / PIECE_BYTES))
+    pieces = places.repartition(tasks, *piece) if tasks else places.repartition(*piece)
     return pieces.sortWithinPartitions("file", "offset").mapInArrow(read, schema)
 
 
+def reading_tasks(captures: DataFrame) -> int:
+    """As many tasks as all these records fill pieces."""
+    return -(-(captures.agg(F.sum("length")).first()[0] or 1) // PIECE_BYTES)
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     folder = scratch_path(spark, "archives")
     captures = write_archives(pages, f"{folder}/warc")
     shards = build_index(captures, f"{folder}/index")
     places = lookup(pages.select("page_id", "url"), f"{folder}/index", shards)
-    return fetch(places, f"{folder}/warc", with_payload=False).drop("url")
+    return fetch(places, f"{folder}/warc", False, reading_tasks(captures)).drop("url")

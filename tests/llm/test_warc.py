@@ -66,8 +66,8 @@ def expected(pages):
 
 
 def test_every_page_is_read_back_as_it_was_written(frame, pages, archive):
-    folder, _, shards = archive
-    got = warc.fetch(warc.lookup(frame, f"{folder}/index", shards), f"{folder}/warc")
+    folder, captures, shards = archive
+    got = warc.fetch(warc.lookup(frame, f"{folder}/index", shards), f"{folder}/warc", tasks=warc.reading_tasks(captures))
     rows = got.collect()
     names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     assert Counter(tuple(r[n] for n in names) for r in rows) == expected(pages)
