@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.llm import (
     automaton_dedup,
+    centroids,
     conversations,
     decontaminate,
     language,
@@ -48,9 +49,44 @@ QUERIES: dict[str, Query] = {
         "op10_suffix_dedup": suffix_dedup.op10,
         "op11_conversations": conversations.op11,
         "op12_warc": warc.op12,
+        "op13_centroids": centroids.op13,
     }.items()
 }
 
+def _k_means_sql(k: int, rounds: int) -> str:
+    """The rounds written out, each from the centroids of the one before."""
+    nearest = """
+        SELECT v.n, v.vec_id, v.w, c.cluster, c.c, CAST(list_sum([(p[1] - p[2]) ** 2 FOR p IN list_zip(v.w, c.c)]) AS BIGINT) AS distance
+        FROM v CROSS JOIN c{round} c
+        QUALIFY row_number() OVER (PARTITION BY v.n ORDER BY distance, c.cluster) = 1
+    """
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS MATERIALIZED ({nearest.format(round=i)})")
+        steps.append(f"""m{i} AS (
+            SELECT cluster, list(mean ORDER BY place) AS c FROM (
+                SELECT cluster, place, CAST(floor(sum(x) / count(*)) AS BIGINT) AS mean
+                FROM (SELECT cluster, unnest(w) AS x, unnest(range(len(w))) AS place FROM a{i}) GROUP BY cluster, place
+            ) GROUP BY cluster)""")
+        steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.c, c.c) AS c FROM c{i} c LEFT JOIN m{i} m USING (cluster))")
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w FROM embeddings
+            WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ),
+        v AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, w FROM kept),
+        c0 AS (
+            SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id), w) - 1 AS INTEGER) AS cluster, w AS c
+            FROM v QUALIFY cluster < {k}
+        ),
+        {", ".join(steps)}
+        SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a{rounds}
+    """
+
+
 SQL: dict[str, str] = {
     "op5_search": """
         WITH v AS (
@@ -83,4 +119,5 @@ SQL: dict[str, str] = {
                CASE WHEN p.page_id IS DISTINCT FROM l.page_id THEN l.page_id END AS refers_to
         FROM paid p JOIN latest l USING (digest)
     """,
+    "op13_centroids": _k_means_sql(k=8, rounds=10),
 }
