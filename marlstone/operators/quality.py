@@ -56,8 +56,11 @@ def positive(column: str, category: str = rules.BUSINESS) -> Check:
 _KEY_CHECKS = ("unique", "unique_values")
 
 
-def _row_fails(check: Check) -> Column:
+def _row_fails(check: Check, is_text: bool = False) -> Column:
     value = F.col(check.column)
+    if is_text and check.kind in ("non_negative", "positive"):
+        # A text that is no number is not judged here; staging keeps it as a failed cast.
+        value = value.try_cast("double")
     return {
         "not_null": lambda: value.isNull(),
         "accepted_values": lambda: ~value.isin(*check.values),
@@ -75,21 +78,38 @@ def _result_row(position: int, check: Check, failed: Column) -> Column:
     )
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> DataFrame:
+def row_check_counts(df: DataFrame, checks: Sequence[Check]) -> list[Column]:
+    """Aggregates for all row checks: the rows, and by position of the check those that fail."""
+    types = dict(df.dtypes)
+    return [
+        F.count(F.lit(1)).alias("total"),
+        *[
+            F.count_if(_row_fails(c, types.get(c.column) == "string")).alias(f"_{i}")
+            for i, c in enumerate(checks)
+            if c.kind not in _KEY_CHECKS
+        ],
+    ]
+
+
+def run_checks(
+    df: DataFrame,
+    checks: Sequence[Check],
+    layer: str,
+    table: str,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """One row per check: layer, table, position, category, check, total, failed, rate.
 
     Nothing runs before the result is asked for. However many row checks there are, they share one
-    aggregate over the table; a unique check reads its key column only.
+    aggregate over the table; a unique check reads its key column only. `counted`, the row of
+    `row_check_counts` if it was taken already, saves that aggregate.
     """
     placed = list(enumerate(checks))
     row_checks = [(i, c) for i, c in placed if c.kind not in _KEY_CHECKS]
     key_checks = [(i, c) for i, c in placed if c.kind in _KEY_CHECKS]
     parts = [_key_result(df, i, c) for i, c in key_checks]
     if row_checks:
-        counted = df.agg(
-            F.count(F.lit(1)).alias("total"),
-            *[F.count_if(_row_fails(c)).alias(f"_{i}") for i, c in row_checks],
-        )
+        counted = df.agg(*row_check_counts(df, checks)) if counted is None else counted
         parts.append(
             counted.select(
                 "total",
@@ -121,12 +141,19 @@ def _key_result(df: DataFrame, position: int, check: Check) -> DataFrame:
 
 
 def run_suite(
-    tables: Mapping[str, DataFrame], suite: Mapping[str, Sequence[Check]], layer: str
+    tables: Mapping[str, DataFrame],
+    suite: Mapping[str, Sequence[Check]],
+    layer: str,
+    counted: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """The checks of every table of a layer."""
+    """The checks of every table of a layer; `counted` as for `run_checks`, by table."""
+    known = counted or {}
     return reduce(
         DataFrame.unionByName,
-        [run_checks(tables[table], checks, layer, table) for table, checks in suite.items()],
+        [
+            run_checks(tables[table], checks, layer, table, known.get(table))
+            for table, checks in suite.items()
+        ],
     )
 
 

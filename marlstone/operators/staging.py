@@ -102,6 +102,16 @@ def without_key(raw: DataFrame, table: StagedTable) -> DataFrame:
     return raw.filter(~_has_key(table))
 
 
+def staged_beside_raw(raw: DataFrame, table: StagedTable) -> DataFrame:
+    """Every raw row, as struct `raw`, next to its typed columns; `has_key` where `stage` takes it."""
+    present = [c for c in table.columns if c.name in raw.columns]
+    return raw.select(
+        F.struct(*raw.columns).alias("raw"),
+        *[_target(column).alias(column.name) for column in present],
+        _has_key(table).alias("has_key"),
+    )
+
+
 def _has_key(table: StagedTable) -> Column:
     typed = next((_target(c) for c in table.columns if c.name == table.key), F.col(table.key))
     return F.col(table.key).isNotNull() & typed.isNotNull()

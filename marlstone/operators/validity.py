@@ -42,22 +42,30 @@ def valid_sales(sales: DataFrame, named: dict[str, Column] | None = None) -> Dat
 def rejected_sales(sales: DataFrame, named: dict[str, Column] | None = None) -> DataFrame:
     """Rows that break a rule, with `broken_rules` naming each rule broken."""
     named = named or sale_rules()
-    broken = F.array_compact(
+    return sales.filter(~all_met(named)).withColumn("broken_rules", broken_rules(named))
+
+
+def broken_rules(named: dict[str, Column]) -> Column:
+    """Names of the rules a sale breaks."""
+    return F.array_compact(
         F.array(*[F.when(~condition, F.lit(name)) for name, condition in named.items()])
     )
-    return sales.filter(~all_met(named)).withColumn("broken_rules", broken)
 
 
 def reject_counts(sales: DataFrame, named: dict[str, Column] | None = None) -> DataFrame:
     """One row: total, approved, rejected, and rejected per rule, from a single pass."""
+    return sales.agg(*reject_count_columns(named))
+
+
+def reject_count_columns(named: dict[str, Column] | None = None) -> list[Column]:
     named = named or sale_rules()
     valid = all_met(named)
-    return sales.agg(
+    return [
         F.count(F.lit(1)).alias("total"),
         F.count_if(valid).alias("approved"),
         F.count_if(~valid).alias("rejected"),
         *[F.count_if(~condition).alias(f"rejected_{name}") for name, condition in named.items()],
-    )
+    ]
 
 
 def with_high_value_flag(sales: DataFrame, above=rules.HIGH_VALUE_ABOVE) -> DataFrame:

@@ -8,16 +8,18 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.naming import from_stored, to_stored
+from marlstone.naming import LIBRARY_TO_STORED, from_stored, to_stored
 from marlstone.operators import staging
 from marlstone.operators.enrich import enrich
 from marlstone.operators.marts import sales_mart
+from marlstone.operators.observed import Watch, watch_checks, watch_rejects
 from marlstone.operators.quality import enforce, evaluate, gate_report, run_suite
-from marlstone.operators.validity import rejected_sales, valid_sales
+from marlstone.operators.validity import rejected_sales, sale_rules, valid_sales
 from marlstone.plans import suites
 from marlstone.plans.features import customer_features
+from marlstone.sources.quarantine import Ingested, ingest_csv
 from marlstone.sources.scratch import written
-from marlstone.sources.writers import csv_to_parquet, dated_path, write_document, write_parquet
+from marlstone.sources.writers import dated_path, write_document, write_parquet
 
 _MONTH = ("ano", "mes")
 # Stored table name -> (library name, staging rules, stored partition columns).
@@ -40,17 +42,24 @@ class Lake:
     reports: str
 
 
-def ingest(spark: SparkSession, lake: Lake, schemas: dict | None = None) -> None:
-    """Raw CSV folders to bronze, replacing it. `schemas` maps a stored table name to its CSV schema."""
-    for stored, (_, _, partitions) in _TABLES.items():
-        csv_to_parquet(
+def ingest(spark: SparkSession, lake: Lake, schemas: dict | None = None) -> dict[str, Ingested]:
+    """Raw CSV folders to bronze, replacing it; the lines read, stored and set aside by table.
+
+    `schemas` maps a stored table name to its CSV schema; without one all columns are text and
+    staging types them. Lines that do not fit are kept in `_quarentena` by table.
+    """
+    return {
+        stored: ingest_csv(
             spark,
             f"{lake.raw}/{stored}",
             f"{lake.bronze}/{stored}",
+            f"{lake.bronze}/_quarentena/{stored}",
             partitions,
             schema=(schemas or {}).get(stored),
             whole=True,
         )
+        for stored, (_, _, partitions) in _TABLES.items()
+    }
 
 
 def bronze_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
@@ -64,24 +73,36 @@ def staged_tables(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: staging.stage(bronze[name], rules) for name, rules, _ in _TABLES.values()}
 
 
-def rejects(bronze: DataFrame) -> DataFrame:
-    """Sales that silver leaves out, as JSON, and the rules they break: no key, or a broken rule."""
-    no_key = staging.without_key(bronze, staging.SALES).withColumn(
-        "broken_rules", F.array(F.lit(staging.SALES.key))
-    )
-    broken = rejected_sales(staging.stage(bronze, staging.SALES))
+def rejects(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:
+    """Sales that silver leaves out, as JSON of the raw row, and the rules they break.
 
-    def listed(df: DataFrame) -> DataFrame:
-        record = F.struct(*[c for c in df.columns if c != "broken_rules"])
-        return df.select(F.to_json(record).alias("record"), "broken_rules")
+    A sale whose key is no key breaks the rule of the key only. `watch` counts all sales on the way.
+    """
+    sales = staging.staged_beside_raw(bronze, staging.SALES)
+    named = {
+        name: condition if name == staging.SALES.key else condition | ~F.col("has_key")
+        for name, condition in (sale_rules() | {staging.SALES.key: F.col("has_key")}).items()
+    }
+    if watch:
+        sales = watch.on(sales)
+    record = F.to_json("raw").alias("record")
+    return rejected_sales(sales, named).select(record, "broken_rules")
 
-    return listed(no_key).unionByName(listed(broken))
 
+def build_silver(
+    spark: SparkSession,
+    lake: Lake,
+    processed_at: datetime,
+    counted: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Valid sales, enriched, and next to them the rejected ones.
 
-def build_silver(spark: SparkSession, lake: Lake, processed_at: datetime) -> DataFrame:
-    """Valid sales, enriched, and next to them the rejected ones."""
+    `counted`, if given, receives what was counted while writing: `rejects`, the reject counts of
+    bronze sales, and `enriched_sales`, the row checks of the silver suite.
+    """
     bronze = bronze_tables(spark, lake)
-    write_parquet(rejects(bronze["sales"]), f"{lake.silver}/vendas_rejeitadas")
+    watch = watch_rejects()
+    write_parquet(rejects(bronze["sales"], watch), f"{lake.silver}/vendas_rejeitadas")
     staged = staged_tables(bronze)
     enriched = enrich(
         valid_sales(staged["sales"]),
@@ -90,7 +111,16 @@ def build_silver(spark: SparkSession, lake: Lake, processed_at: datetime) -> Dat
         staged["regions"],
         processed_at=processed_at,
     )
-    write_parquet(to_stored(enriched), f"{lake.silver}/vendas", _MONTH, whole=True)
+    checks = tuple(
+        check._replace(column=LIBRARY_TO_STORED.get(check.column, check.column))
+        for check in suites.SILVER["enriched_sales"]
+    )
+    stored = to_stored(enriched)
+    checked = watch_checks(stored, checks)
+    target = f"{lake.silver}/vendas"
+    write_parquet(stored, target, _MONTH, whole=True, observed=(checked.seen, checked.counts))
+    if counted is not None:
+        counted |= {"rejects": watch.row(spark), "enriched_sales": checked.row(spark)}
     return silver_sales(spark, lake)
 
 
@@ -98,10 +128,18 @@ def silver_sales(spark: SparkSession, lake: Lake) -> DataFrame:
     return from_stored(spark.read.parquet(f"{lake.silver}/vendas"))
 
 
-def gate(spark: SparkSession, lake: Lake, executed_at: datetime) -> None:
-    """Check bronze and silver, publish the report, then raise if a check failed."""
+def gate(
+    spark: SparkSession,
+    lake: Lake,
+    executed_at: datetime,
+    counted: dict[str, DataFrame] | None = None,
+) -> None:
+    """Check bronze and silver, publish the report, then raise if a check failed.
+
+    With the row checks counted while silver was written, only its keys are read again.
+    """
     results = run_suite(bronze_tables(spark, lake), suites.BRONZE, "bronze").unionByName(
-        run_suite({"enriched_sales": silver_sales(spark, lake)}, suites.SILVER, "silver")
+        run_suite({"enriched_sales": silver_sales(spark, lake)}, suites.SILVER, "silver", counted)
     )
     evaluated = written(evaluate(results), "gate")
     path = dated_path(f"{lake.reports}/quality-reports", executed_at, "quality_gate_report.json")
@@ -136,8 +174,9 @@ def run(
 ) -> dict[str, DataFrame]:
     """Ingest, silver, gate, gold, features, in this order; a failed gate ends the run."""
     ingest(spark, lake, schemas)
-    silver = build_silver(spark, lake, now)
-    gate(spark, lake, now)
+    counted: dict[str, DataFrame] = {}
+    silver = build_silver(spark, lake, now, counted)
+    gate(spark, lake, now, counted)
     return {
         "silver": silver,
         "mart": build_gold(spark, lake, now),

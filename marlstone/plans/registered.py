@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from typing import NamedTuple
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone import rules
@@ -14,28 +11,13 @@ from marlstone.operators import evaluation, marts, pii, quality, ranking, stagin
 from marlstone.plans import churn, features, fixtures, suites
 from marlstone.plans.fixtures import AS_OF, EARLIER, NOW
 from marlstone.plans.oracle_ctes import mean2, mean2_of_means, mean6, rate4, with_ctes
+from marlstone.plans.registry import REGISTRY, register
 from marlstone.sources import readers, writers
 from marlstone.sources.catalog import tables_of
 from marlstone.sources.scratch import scratch_path, written
 from marlstone.streaming import clicks as stream
 
 
-class Registered(NamedTuple):
-    run: Callable[[SparkSession, str], DataFrame]
-    sql: str | None
-
-
-REGISTRY: dict[str, Registered] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def add(run):
-        REGISTRY[name] = Registered(run, sql)
-        return run
-
-    return add
-
-
 def _enriched(spark, sf_dir, *dimensions: str) -> DataFrame:
     """Enriched sales with just the dimensions a query draws on."""
     return fixtures.enriched_sales(spark, sf_dir, dimensions)

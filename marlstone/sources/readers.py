@@ -1,4 +1,4 @@
-"""Readers: CSV, Parquet, one-year scans, registered tables, bounded samples."""
+"""Readers: CSV, Parquet, one-year scans, registered tables."""
 
 from __future__ import annotations
 
@@ -8,18 +8,26 @@ from pyspark.sql import types as T
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    *,
+    infer: bool = False,
 ) -> DataFrame:
     """UTF-8 CSV file or folder with a header row.
 
-    Without a schema the types are inferred, which reads the input one more time.
+    Without a schema all columns are text; `infer` finds their types, which reads the input one
+    more time. Values that do not fit become NULL: `quarantine` keeps such lines apart.
     """
     reader = spark.read.option("header", True).option("encoding", "UTF-8")
-    if schema is None:
-        reader = reader.option("inferSchema", True)
-    else:
+    if schema is not None:
         reader = reader.schema(schema)
-    return reader.csv(path)
+    return reader.option("inferSchema", infer).csv(path)
+
+
+def header_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The columns that the header names, all text. Reads one line."""
+    return read_csv(spark, path).schema
 
 
 def with_ingestion_time(df: DataFrame, at=None, name: str = "ingestion_ts") -> DataFrame:

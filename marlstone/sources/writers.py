@@ -6,7 +6,7 @@ import logging
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _log = logging.getLogger(__name__)
 
@@ -18,6 +18,7 @@ def write_parquet(
     *,
     gather: bool = True,
     whole: bool = False,
+    observed: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
     """Overwrite `path`; with `partition_by` only the partitions present in `df` are replaced.
 
@@ -27,9 +28,13 @@ def write_parquet(
     `gather` brings the rows of a partition value together first, so that not every task leaves a
     file in every folder. Adaptive execution then evens the tasks out: it splits a value with many
     rows over several and merges small ones. Turn it off for rows that are gathered already.
+
+    `observed` takes counts of the rows in the tasks that write them.
     """
     if gather and partition_by:
         df = df.hint("rebalance", *partition_by)
+    if observed:
+        df = df.observe(observed[0], *observed[1])
     writer = df.write.mode("overwrite")
     if partition_by:
         mode = "static" if whole else "dynamic"

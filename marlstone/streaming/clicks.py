@@ -27,12 +27,51 @@ def kafka_clicks(
     spark: SparkSession, servers: str, topic: str, schema: T.StructType | str,
     starting: str = "latest",
 ) -> DataFrame:
-    """Clicks from JSON messages of a topic. Needs the Spark Kafka connector on the class path."""
-    messages = (
-        spark.readStream.format("kafka").options(**kafka_options(servers, topic, starting)).load()
-    )
-    body = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(body.alias("click")).select("click.*")
+    """Clicks from JSON messages of a topic. Needs the Spark Kafka connector on the class path.
+
+    Messages that do not parse are left out; `start_message_ingest` keeps them as dead letters.
+    """
+    return parsed_clicks(parse_messages(kafka_messages(spark, servers, topic, starting), schema))
+
+
+def kafka_messages(
+    spark: SparkSession, servers: str, topic: str, starting: str = "latest"
+) -> DataFrame:
+    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, starting)).load()
+
+
+_POSITION = ("topic", "partition", "offset", "timestamp")
+_UNPARSED = "_unparsed"
+
+
+def parse_messages(messages: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """Messages (value, and topic, partition, offset, timestamp as far as there) with `click`.
+
+    `reason` tells why there is no click: "empty" for a message without a value, "unparsed" for one
+    that is no JSON object or in which a value has another type. It is NULL for a good message.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    kept = T.StructType([*schema.fields, T.StructField(_UNPARSED, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNPARSED}
+    body = F.from_json(F.col("value").cast("string"), kept, options)
+    position = [c for c in _POSITION if c in messages.columns]
+    parsed = messages.select("value", *position, body.alias("_body"))
+    unparsed = F.col("_body").isNull() | F.col(f"_body.{_UNPARSED}").isNotNull()
+    # A text that is blank parses to a struct of NULLs without being called corrupt.
+    blank = F.trim(F.col("value").cast("string")) == ""
+    reason = F.when(F.col("value").isNull(), "empty").when(unparsed | blank, "unparsed")
+    click = F.struct(*[F.col(f"_body.{f.name}").alias(f.name) for f in schema.fields])
+    return parsed.select("value", *position, click.alias("click"), reason.alias("reason"))
+
+
+def parsed_clicks(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("reason").isNull()).select("click.*")
+
+
+def dead_letters(parsed: DataFrame) -> DataFrame:
+    """The messages that are no clicks: raw value, position and reason."""
+    return parsed.filter(F.col("reason").isNotNull()).drop("click")
 
 
 def file_clicks(
@@ -121,6 +160,52 @@ def start_batch_ingest(
     return _triggered(writer, interval).start()
 
 
+def message_writer(
+    target: str,
+    dead_target: str,
+    schema: T.StructType | str,
+    event_time: str = "event_timestamp",
+    processed_at=None,
+) -> Callable[[DataFrame, int], None]:
+    """Body for foreachBatch over messages: clicks to `target` as `batch_writer` does, and messages
+    that do not parse to `dead_target`, in a folder per query and batch that a retry overwrites."""
+    write_clicks = batch_writer(target, event_time, processed_at)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # Kept for the two writes, so that the topic is read once.
+        parsed = parse_messages(batch, schema).persist()
+        try:
+            context = batch.sparkSession.sparkContext
+            query = context.getLocalProperty("sql.streaming.queryId") or "none"
+            dead = dead_letters(parsed)
+            if not dead.isEmpty():
+                dead = dead.withColumns({"query": F.lit(query), "batch": F.lit(batch_id)})
+                writer = dead.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                writer.partitionBy("query", "batch").parquet(dead_target)
+            write_clicks(parsed_clicks(parsed), batch_id)
+        finally:
+            parsed.unpersist()
+
+    return write
+
+
+def start_message_ingest(
+    messages: DataFrame,
+    target: str,
+    dead_target: str,
+    checkpoint: str,
+    schema: T.StructType | str,
+    *,
+    event_time: str = "event_timestamp",
+    interval: str | None = INTERVAL,
+    processed_at=None,
+) -> StreamingQuery:
+    """Messages to partitioned JSON, those that do not parse to a table of dead letters."""
+    body = message_writer(target, dead_target, schema, event_time, processed_at)
+    writer = messages.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return _triggered(writer, interval).start()
+
+
 def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     if interval is None:
         return writer.trigger(availableNow=True)

@@ -131,7 +131,8 @@ def test_registered_table_has_its_partitions(spark):
 
 def test_csv_types_are_inferred_only_when_asked(spark, tmp_path):
     (tmp_path / "a.csv").write_text("n,t\n1,ção\n", encoding="utf-8")
-    assert readers.read_csv(spark, str(tmp_path)).dtypes == [("n", "int"), ("t", "string")]
+    assert readers.read_csv(spark, str(tmp_path)).dtypes == [("n", "string"), ("t", "string")]
+    assert readers.read_csv(spark, str(tmp_path), infer=True).dtypes == [("n", "int"), ("t", "string")]
     typed = readers.read_csv(spark, str(tmp_path), "n string, t string")
     assert typed.first().t == "ção" and typed.dtypes[0] == ("n", "string")
     stamped = readers.with_ingestion_time(typed, NOW)
