@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone import rules
-from marlstone.functions.calendar import days_since, known_by, trailing_months
-from marlstone.functions.numbers import TOTAL, mean_of_total, ratio
 from marlstone.operators.customers import preferred_channel_ties, with_churn_label
 from marlstone.operators.ranking import RFM, percent_ranks, rfm_score
+from marlstone.plans.history import customer_base
 from marlstone.sources.scratch import written
 
 FEATURES = (
@@ -35,115 +34,6 @@ FEATURES = (
     "feature_extraction_ts",
 )
 
-# Column sets the history is grouped by, all in one pass over the sales.
-_BY_MONTH = ("customer_id", "year", "month")
-_BY_CHANNEL = ("customer_id", "channel")
-_BY_CATEGORY = ("customer_id", "category")
-_BY_PROFILE = ("customer_id", "segment", "state")
-_GROUPED = ("customer_id", "year", "month", "channel", "category", "segment", "state")
-
-
-def customer_base(
-    enriched: DataFrame, as_of: date, months: int = rules.TRAILING_MONTHS
-) -> DataFrame:
-    """All features that need one customer's history only; one row per customer with a purchase.
-
-    The sales are read once. Each is counted by customer and month, channel, category and profile;
-    those counts, at most a few hundred per customer however many sales stand behind them, are
-    then brought together per customer. No joins are involved.
-    """
-    done = F.col("status") == rules.COMPLETED
-    value = F.when(done, F.col("total_value"))
-    cells = (
-        enriched.filter(known_by(F.col("sale_date"), as_of)).select(
-            *_GROUPED,
-            F.when(done, F.col("sale_id")).alias("_done_id"),
-            "sale_id",
-            value.alias("_value"),
-            F.when(done, F.col("sale_date")).alias("_done_date"),
-            "sale_date",
-            done.alias("_done"),
-            (F.col("status") == rules.CANCELLED).alias("_cancelled"),
-            (done & F.col("is_high_value")).alias("_high"),
-        )
-        .groupingSets(
-            [list(keys) for keys in (_BY_MONTH, _BY_CHANNEL, _BY_CATEGORY, _BY_PROFILE)],
-            *_GROUPED,
-        )
-        .agg(
-            F.grouping_id(*_GROUPED).alias("_set"),
-            F.count_if("_done").alias("done"),
-            F.count("_done_id").alias("orders"),
-            F.count("sale_id").alias("sales"),
-            F.count_if("_cancelled").alias("cancelled"),
-            F.count_if("_high").alias("high"),
-            F.sum("_value").cast(TOTAL).alias("revenue"),
-            F.count("_value").alias("priced"),
-            F.max("_value").alias("largest"),
-            F.min("_value").alias("smallest"),
-            F.max("_done_date").alias("last_purchase"),
-            F.max("sale_date").alias("last_sale"),
-        )
-    )
-    has_done = F.col("done") > 0
-    by_month = F.col("_set") == _set_number(_BY_MONTH)
-    bought_in_month = by_month & has_done
-    recent = bought_in_month & trailing_months(F.col("year"), F.col("month"), as_of, months)
-    channel = (F.col("_set") == _set_number(_BY_CHANNEL)) & has_done
-    category = (F.col("_set") == _set_number(_BY_CATEGORY)) & has_done
-    profile = F.col("_set") == _set_number(_BY_PROFILE)
-    segment_state = F.struct("segment", "state")
-
-    def monthly(measure: str) -> Column:
-        return F.when(by_month, F.col(measure))
-
-    # The choices of channel and profile make this a sorting aggregate. Shuffling first means one
-    # sort, and at most a few hundred rows per customer are left to shuffle.
-    per_customer = cells.repartition("customer_id").groupBy("customer_id").agg(
-        F.sum(monthly("orders")).alias("orders"),
-        F.sum(monthly("done")).alias("_done"),
-        F.sum(monthly("revenue")).cast(TOTAL).alias("total_revenue"),
-        F.sum(monthly("priced")).alias("_priced"),
-        F.max(monthly("largest")).alias("ticket_max"),
-        F.min(monthly("smallest")).alias("ticket_min"),
-        F.sum(monthly("high")).alias("high_value_orders"),
-        F.sum(monthly("sales")).alias("_sales"),
-        F.sum(monthly("cancelled")).alias("_cancelled"),
-        F.max(monthly("last_purchase")).alias("_last_purchase"),
-        F.count_if(bought_in_month).alias("_active_months"),
-        F.sum(F.when(recent, F.col("orders"))).alias("_recent_orders"),
-        F.count_if(recent).alias("_recent_months"),
-        F.count_if(category & F.col("category").isNotNull()).alias("category_count"),
-        F.min(F.when(channel, F.struct((-F.col("done")).alias("rank"), "channel"))).alias(
-            "_channel"
-        ),
-        F.max(
-            F.when(profile, F.struct(F.col("last_sale"), segment_state.alias("profile")))
-        ).alias("_latest"),
-    )
-    return per_customer.filter(F.col("_done") > 0).select(
-        "customer_id",
-        F.col("_latest.profile.segment").alias("customer_segment"),
-        F.col("_latest.profile.state").alias("customer_state"),
-        "orders",
-        ratio(F.col("orders"), F.greatest(F.col("_active_months"), F.lit(1))).alias(
-            "orders_per_month"
-        ),
-        F.coalesce(ratio(F.col("_recent_orders"), F.col("_recent_months")), F.lit(0.0)).alias(
-            "orders_per_month_6m"
-        ),
-        "total_revenue",
-        mean_of_total(F.col("total_revenue"), F.col("_priced")).alias("ticket_mean"),
-        "ticket_max",
-        "ticket_min",
-        "category_count",
-        F.col("_channel.channel").alias("preferred_channel"),
-        ratio(F.col("_cancelled"), F.col("_sales")).alias("cancel_rate"),
-        "high_value_orders",
-        days_since(F.col("_last_purchase"), as_of).alias("days_since_purchase"),
-    )
-
-
 def customer_features(
     enriched: DataFrame,
     as_of: date,
@@ -152,15 +42,18 @@ def customer_features(
     months: int = rules.TRAILING_MONTHS,
     churn_after_days: int = rules.CHURN_AFTER_DAYS,
     all_tied_channels: bool = False,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """The feature table with RFM score and churn label.
 
+    `base` is the per-customer history if it was folded already, from stored cells say.
+
     The per-customer base is written to the shared folder first, because the ranks compare every
     customer with all others and would otherwise compute the sales history several times over.
     `all_tied_channels` keeps one row per preferred channel where several tie; ranks then count
     such customers as often as they appear.
     """
-    base = customer_base(enriched, as_of, months)
+    base = customer_base(enriched, as_of, months) if base is None else base
     if all_tied_channels:
         base = base.drop("preferred_channel").join(
             preferred_channel_ties(enriched), "customer_id", "left"
@@ -175,9 +68,3 @@ def customer_features(
 def latest_snapshot(features: DataFrame, column: str = "feature_extraction_ts") -> DataFrame:
     """Rows of the most recent extraction."""
     return features.filter(F.col(column) == features.agg(F.max(column)).scalar())
-
-
-def _set_number(keys: tuple[str, ...]) -> int:
-    """grouping_id of a grouping set: a bit per grouped column, 1 where it is not in the set."""
-    bits = "".join("0" if column in keys else "1" for column in _GROUPED)
-    return int(bits, 2)

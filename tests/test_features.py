@@ -9,7 +9,9 @@ from marlstone import rules
 from marlstone.functions.calendar import months_before
 from marlstone.operators import customers as cust
 from marlstone.plans import features, fixtures
-from tests.conftest import rows
+from marlstone.plans import history as cells_of
+from marlstone.sources.scratch import scratch_path
+from tests.conftest import plan, rows
 
 AS_OF = date(2024, 7, 15)
 ENRICHED = (
@@ -106,3 +108,43 @@ def test_no_sales_no_features(spark):
 def test_latest_snapshot(spark):
     df = spark.createDataFrame([(1, 5), (2, 9), (3, 9)], "k int, feature_extraction_ts int")
     assert [r.k for r in features.latest_snapshot(df).orderBy("k").collect()] == [2, 3]
+
+
+def test_stored_cells_fold_to_the_history_of_any_day(spark, history):
+    undated = sale(9, 2, date(2024, 7, 14), "1.00")
+    undated = spark.createDataFrame([(undated[0], None, None, None, *undated[4:])], ENRICHED)
+    sales = history.unionByName(undated)
+    path = scratch_path(spark, "cells")
+    cells_of.write_cells(sales, path)
+    for day in (date(2022, 1, 1), date(2023, 12, 31), date(2024, 1, 9), date(2024, 1, 31), date(2024, 7, 14), date(2024, 7, 31)):
+        folded = cells_of.fold(cells_of.cells_as_of(spark, path, sales, day), day)
+        assert rows(folded) == rows(cells_of.customer_base(sales, day)), day
+
+
+def test_a_new_month_adds_cells_and_leaves_the_others(spark, history):
+    path = scratch_path(spark, "cells")
+    early = history.filter("sale_date < '2024-07-01'")
+    cells_of.write_cells(early, path)
+    before = set(spark.read.parquet(path).inputFiles())
+    cells_of.write_cells(history.filter("sale_date >= '2024-07-01'"), path)
+    stored = spark.read.parquet(path)
+    assert before < set(stored.inputFiles())
+    assert rows(cells_of.fold(stored, AS_OF)) == rows(cells_of.customer_base(history, AS_OF))
+    # A month stored again takes the place of what was there.
+    cells_of.write_cells(history.filter("sale_date >= '2024-07-01'"), path)
+    assert rows(cells_of.fold(spark.read.parquet(path), AS_OF)) == rows(cells_of.customer_base(history, AS_OF))
+
+
+def test_folding_reads_earlier_months_only_and_expands_no_sales(spark, history):
+    path = scratch_path(spark, "cells")
+    cells_of.write_cells(history, path)
+    text = plan(cells_of.fold(cells_of.cells_as_of(spark, path, history, date(2024, 1, 31)), date(2024, 1, 31)))
+    assert "PartitionFilters: [isnotnull(sold_in" in text and "ExistingRDD" not in text
+    assert text.count("Exchange hashpartitioning(customer_id") == 1
+    assert "Expand" not in plan(cells_of.customer_base(history, AS_OF))
+
+
+def test_the_order_of_sales_and_of_merging_does_not_matter(spark, history):
+    whole = rows(cells_of.fold(cells_of.cells(history), AS_OF))
+    halves = cells_of.cells(history.filter("sale_id % 2 = 0")).unionByName(cells_of.cells(history.filter("sale_id % 2 = 1")))
+    assert rows(cells_of.fold(halves, AS_OF)) == whole
