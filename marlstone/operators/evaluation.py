@@ -47,28 +47,33 @@ def label_rate(df: DataFrame, label: str) -> DataFrame:
 def stratified_split(
     df: DataFrame, key: str, label: str, train_share: float = 0.8, seed: int = 42
 ) -> DataFrame:
-    """Add `is_train`: exactly round(train_share * rows) rows of every label value.
+    """Add `is_train`: exactly round(train_share * rows) rows of every label value, for unique keys.
 
-    Which rows is decided by a hash of seed and key, so a rerun splits alike. Rows are placed
-    within their label by ranges of the hash, not by one sort per label.
+    Which rows is decided by a hash of seed and key, so a rerun splits alike; rows of equal keys go
+    together. The hash cuts the rows of a label into as many even ranges as there are partitions.
+    A row's place is the number of rows in the ranges before its own and before it in its own; only
+    the counts of the ranges are joined to the rows.
     """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = df.withColumn("_hash", F.md5(F.concat_ws(":", F.lit(seed), F.col(key))))
     # A missing label is a label of its own.
     hashed = hashed.withColumn("_label", F.coalesce(F.col(label).cast("string"), F.lit("\0")))
-    # Rows with the same key stay apart: they are counted together and placed in equal hash order.
-    counted = value_counts(hashed, "_hash", by="_label")
-    # Two hex digits of the hash cut it into 256 even ranges.
-    placed = running_totals(
-        counted, "_hash", by="_label", range_of=F.conv(F.substring("_hash", 1, 2), 16, 10).cast("int")
-    )
-    limit = F.round(F.col("n_total") * train_share)
-    return (
-        hashed.join(
-            placed.select("_label", "_hash", (F.col("n_before") < limit).alias("is_train")),
-            ["_label", "_hash"],
-        )
-        .drop("_hash", "_label")
+    # The first 32 bits of the hash, spread evenly over the ranges.
+    leading = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint")
+    ranged = hashed.withColumn("_range", F.floor(leading * ranges / 2**32))
+    in_order = Window.partitionBy("_label").orderBy("_range")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("_label", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(
+        "_label",
+        "_range",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(Window.partitionBy("_label")).alias("_total"),
     )
+    within = F.rank().over(Window.partitionBy("_label", "_range").orderBy("_hash")) - 1
+    placed = ranged.join(offsets, ["_label", "_range"])
+    is_train = F.col("_offset") + within < F.round(F.col("_total") * train_share)
+    return placed.withColumn("is_train", is_train).drop("_hash", "_label", "_range", "_offset", "_total")
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:

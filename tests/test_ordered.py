@@ -9,7 +9,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marlstone.operators import evaluation
-from marlstone.operators.ordered import exact_quantiles, running_totals, value_counts
+from marlstone.operators.ordered import (
+    _with_numbers_below,
+    exact_quantiles,
+    running_totals,
+    value_counts,
+)
 from marlstone.operators.ranking import RankSpec, percent_ranks
 from tests.conftest import rows
 
@@ -61,6 +66,37 @@ def test_running_totals_do_not_depend_on_the_number_of_ranges(spark):
     assert all(before[Decimal(v)] == sum(x < v for x in values) for v in set(values))
 
 
+@pytest.fixture(params=[1, 4, 400])
+def partitions(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_results_do_not_depend_on_the_partitions_of_the_session(spark, partitions):
+    values = [random.Random(i).randrange(300) for i in range(1500)] + [None] * 20 + [7] * 500
+    df = frame(spark, values)
+    assert rows(percent_ranks(df, "k", SPECS)) == rows(built_in(df))
+    split = evaluation.stratified_split(df.withColumn("label", F.col("v") > 9), "k", "label")
+    trained = {r.label: (r.train, r.n) for r in split.groupBy("label").agg(F.count_if("is_train").alias("train"), F.count("*").alias("n")).collect()}
+    assert all(train == int(0.8 * n + 0.5) for train, n in trained.values()) and None in trained
+    digest = split.agg(F.sum(F.xxhash64("k", "is_train").cast("decimal(38,0)"))).first()[0]
+    assert digest == _DIGESTS.setdefault("split", digest)
+
+
+_DIGESTS: dict = {}
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 7, 8, 100])
+def test_binary_search_finds_the_number_of_limits_below(spark, count):
+    limits = [i * 2 for i in range(count)]
+    df = spark.range(-3, 2 * count + 3).select("id", F.array(*[F.lit(x) for x in limits]).alias("limits"))
+    for most in (count, count + 5):
+        found = _with_numbers_below(df, "limits", "id", most)
+        assert all(r._below == sum(x < r.id for x in limits) for r in found.collect())
+
+
 def test_no_single_task_ranks_all_values(spark):
     plan = percent_ranks(frame(spark, range(100)), "k", SPECS)._jdf.queryExecution().toString()
     windows = [line for line in plan.splitlines() if "+- Window" in line or ":- Window" in line]
