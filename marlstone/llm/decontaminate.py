@@ -183,16 +183,19 @@ def item_blocks(items: DataFrame, key: str, text: str) -> Iterator[Items]:
         yield Items(ids, texts)
 
 
-def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Add the column `leaks` to every row of docs."""
-    out = docs.drop("leaks").withColumn("leaks", F.array().cast(LEAKS))
+def leaks(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", into: str = "leaks"
+) -> DataFrame:
+    """Add the column `into` to every row of docs."""
+    out = docs.drop(into).withColumn(into, F.array().cast(LEAKS))
+    schema = StructType([*docs.drop(into).schema.fields, *StructType.fromDDL(f"`{into}` {LEAKS}").fields])
     for block in item_blocks(items, item_key, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in (piece for whole in batches for piece in chunks(whole, text)):
                 found = shared.value.find(Texts.of(batch.column(text)))
-                place = batch.schema.get_field_index("leaks")
+                place = batch.schema.get_field_index(into)
                 if any(found):
                     found = [a + b for a, b in zip(batch.column(place).to_pylist(), found, strict=True)]
                     # The field as it came: all batches of a task must have one schema.
@@ -200,7 +203,7 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
                     batch = batch.set_column(place, field, pa.array(found, field.type))
                 yield batch
 
-        out = out.mapInArrow(run, StructType([*docs.drop("leaks").schema.fields, *StructType.fromDDL(f"leaks {LEAKS}").fields]))
+        out = out.mapInArrow(run, schema)
     return out
 
 

@@ -5,9 +5,13 @@ bit is set from the others; a document's language is the codeword with the small
 logistic loss against the classifiers' outputs. Distances between codewords let some classifiers be
 wrong without harm, and a close second codeword flags an ambiguous document.
 
+Texts pass through a task in pieces of bounded size, and their n-grams order by order, so that a
+piece takes some tens of megabytes at most. Only text goes to the Python workers, and only the
+decision comes back; the other columns stay where they are.
+
 Defined results: null text and text without a letter is `und` with score 0; without any labelled
-row everything is `und`. Rows are never dropped, repeated rows get equal results, columns that
-clash with the results are replaced.
+row everything is `und`. Rows are never dropped, repeated rows get equal results. `identify` replaces
+columns that are named like its results, `decided` leaves all columns as they are.
 """
 
 from __future__ import annotations
@@ -30,8 +34,11 @@ UNDETERMINED = "und"
 # A document whose best codeword has less than this share of the soft decision is ambiguous.
 AMBIGUOUS_BELOW = 0.5
 _SHARPNESS = 4.0
+# Bytes of text that are looked at together.
+_PIECE = 1 << 16
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 _letters: list[np.ndarray] = []
+_DECISION = "lang_pred string, score double, ambiguous boolean"
 
 
 def codewords(languages: int) -> np.ndarray:
@@ -52,17 +59,18 @@ def codewords(languages: int) -> np.ndarray:
 class Model:
     languages: list[str]
     code: np.ndarray
-    weights: np.ndarray  # buckets x bits, log-odds of an n-gram
+    weights: np.ndarray  # bits x buckets, log-odds of an n-gram
     trust: np.ndarray  # per bit, from its accuracy on the fitted rows
 
     def outputs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Mean log-odds per bit, and the number of letters."""
-        buckets, doc, letters = ngrams(texts)
+        orders, letters = ngrams(texts)
         sums = np.zeros((len(texts), self.code.shape[1]))
-        grams = np.bincount(doc, minlength=len(texts))
-        if len(buckets):
-            rows, first = np.unique(doc, return_index=True)
-            sums[rows] = np.add.reduceat(self.weights[buckets], first, axis=0, dtype=np.float64)
+        grams = np.zeros(len(texts), np.int64)
+        for bucket, row in orders:
+            grams += np.bincount(row, minlength=len(texts))
+            for bit in range(self.code.shape[1]):
+                sums[:, bit] += np.bincount(row, self.weights[bit, bucket], len(texts))
         return sums / np.maximum(grams, 1)[:, None], letters
 
     def decide(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -78,8 +86,8 @@ class Model:
         return names, np.where(known, share.max(1), 0.0)
 
 
-def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, row) of all 1- to 3-grams of lower-cased letters, rows ascending, and letters per row.
+def ngrams(texts: list[str | None]) -> tuple[Iterator[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """For each order (bucket, row) of all 1-, 2- and 3-grams of lower-cased letters; letters per row.
 
     A run of other characters counts as one gap between words, and so does the start of a text.
     """
@@ -87,7 +95,7 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         _letters.append(np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000))
     lowered = [" " + (t or "").lower() for t in texts]
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-    doc = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in lowered])
     is_letter = _letters[0][points]
     letters = np.bincount(doc[is_letter], minlength=len(texts))
     keep = is_letter.copy()
@@ -95,21 +103,18 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     keep[1:] |= doc[1:] != doc[:-1]
     keep[:1] = True
     doc = doc[keep]
-    letter = np.where(is_letter, points, 0)[keep].astype(np.uint32)
-    buckets, rows = [], []
+    letter = np.where(is_letter, points, np.uint32(0))[keep]
+    return _orders(letter, doc), letters
+
+
+def _orders(letter: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     value = np.zeros(len(letter), np.uint32)
     shift = np.uint32(32 - BUCKETS_LOG2)
-    for n in range(ORDERS):
+    for n in range(min(ORDERS, len(letter))):
         value = value[: len(letter) - n] * _MULTIPLIERS[1] + (letter[n:] + np.uint32(n + 1)) * _MULTIPLIERS[0]
         mixed = value ^ value >> np.uint32(15)
         inside = doc[: len(letter) - n] == doc[n:] if n else letter > 0
-        buckets.append((mixed * _MULTIPLIERS[2] >> shift)[inside])
-        rows.append(doc[: len(letter) - n][inside])
-        if not len(letter) - n - 1 > 0:
-            break
-    bucket, row = np.concatenate(buckets), np.concatenate(rows)
-    order = np.argsort(row, kind="stable")
-    return bucket[order].astype(np.int64), row[order], letters
+        yield (mixed * _MULTIPLIERS[2] >> shift)[inside], doc[: len(letter) - n][inside]
 
 
 def fit(labelled: DataFrame, text: str, lang: str, key: Column, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model | None:
@@ -129,12 +134,12 @@ def fit(labelled: DataFrame, text: str, lang: str, key: Column, rows_per_languag
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
-        for batch in (piece for whole in batches for piece in chunks(whole, "text")):
+        for batch in (piece for whole in batches for piece in chunks(whole, "text", _PIECE)):
             names = np.array(batch.column("lang").to_pylist(), object)
-            bucket, row, _ = ngrams(batch.column("text").to_pylist())
-            for name in set(names):
-                own = bucket[(names == name)[row]]
-                found[name] = found.get(name, 0) + np.bincount(own, minlength=1 << BUCKETS_LOG2)
+            for bucket, row in ngrams(batch.column("text").to_pylist())[0]:
+                for name in set(names):
+                    own = bucket[(names == name)[row]]
+                    found[name] = found.get(name, 0) + np.bincount(own, minlength=1 << BUCKETS_LOG2)
         for name, total in found.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({"lang": [name] * len(at), "bucket": at, "n": total[at]})
@@ -147,7 +152,7 @@ def fit(labelled: DataFrame, text: str, lang: str, key: Column, rows_per_languag
     model = Model(languages, code, _log_odds(table, code), np.ones(code.shape[1]))
 
     def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (piece for whole in batches for piece in chunks(whole, "text")):
+        for batch in (piece for whole in batches for piece in chunks(whole, "text", _PIECE)):
             outputs, letters = model.outputs(batch.column("text").to_pylist())
             truth = code[[languages.index(x) for x in batch.column("lang").to_pylist()]]
             hits = ((outputs * truth > 0) & (letters > 0)[:, None]).sum(0)
@@ -171,29 +176,34 @@ def _log_odds(table: np.ndarray, code: np.ndarray) -> np.ndarray:
         else:
             floor = 1e-7
             weights.append(np.log(table[bit > 0].mean(0) + floor) - np.log(table[bit < 0].mean(0) + floor))
-    return np.stack(weights, 1).astype(np.float32)
+    return np.stack(weights).astype(np.float32)
 
 
-def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """Add lang_pred, score and ambiguous to every row."""
-    docs = docs.drop("lang_pred", "score", "ambiguous")
+def decided(docs: DataFrame, model: Model | None, text: str = "text") -> Column:
+    """A struct (lang_pred, score, ambiguous) for every row."""
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0), "ambiguous": F.lit(True)})
+        return F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("ambiguous"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (piece for whole in batches for piece in chunks(whole, text)):
-            names, score = shared.value.decide(batch.column(text).to_pylist())
-            columns = [*batch.columns, pa.array(names), pa.array(score), pa.array(score < AMBIGUOUS_BELOW)]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "score", "ambiguous"])
-
-    return docs.mapInArrow(run, _schema(docs, "lang_pred string, score double, ambiguous boolean"))
+    @F.arrow_udf(_DECISION)
+    def decide(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            names, scores = [], []
+            for piece in chunks(pa.record_batch([texts], ["text"]), "text", _PIECE):
+                name, score = shared.value.decide(piece.column("text").to_pylist())
+                names += name
+                scores.append(score)
+            score = np.concatenate(scores or [np.zeros(0)])
+            columns = [pa.array(names, pa.string()), pa.array(score), pa.array(score < AMBIGUOUS_BELOW)]
+            yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "ambiguous"])
 
+    return decide(F.col(text))
 
-def _schema(docs: DataFrame, more: str):
-    from pyspark.sql.types import StructType
 
-    return StructType([*docs.schema.fields, *StructType.fromDDL(more).fields])
+def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """Add lang_pred, score and ambiguous to every row."""
+    docs = docs.drop("lang_pred", "score", "ambiguous")
+    return docs.select("*", decided(docs, model, text).alias("_decision")).select(*docs.columns, "_decision.*")
 
 
 def remainder(key: str, by: int) -> Column:

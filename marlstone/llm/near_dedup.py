@@ -12,8 +12,9 @@ different components are compared where their differences from their group's com
 link, so no candidate pair is left open, and thousands of copies do not meet in all pairs.
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked
-with nothing. Rows of one id are one node: they share a component. A row without an id is kept and
-has no component. An empty table gives an empty result.
+with nothing. Rows of one id are one document: their sets are linked with each other, so that they
+share a component. A row without an id is kept and has no component. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -138,11 +139,10 @@ def near_duplicates(
     # Second step: candidates that the first one left in different components.
     across = written(_across(bucketed, pairs, first, texts, shingle, percent), "across")
     more = written(_verified(across, texts, shingle, percent), "verified")
-    classes = components(linked.union(more))
+    classes = components(linked.union(more).union(_of_one_id(nodes, same)))
 
     known = same.drop("bands").join(classes.withColumnRenamed("id", "node"), "node", "left")
     known = known.select("set_a", "set_b", F.coalesce("component", "node").alias("component_id"))
-    # Rows of one id meet in its smallest component even where their texts differ.
     out = signed.drop("bands").join(known, ["set_a", "set_b"], "left")
     out = out.withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
     out = out.withColumn("component_id", F.when(F.col("id").isNotNull(), F.col("component_id")))
@@ -154,6 +154,15 @@ def near_duplicates(
     )
 
 
+def _of_one_id(nodes: DataFrame, same: DataFrame) -> DataFrame:
+    """Links (a, b) between the sets of every id that has more than one."""
+    sets = nodes.select("id", F.struct("set_a", "set_b").alias("set"))
+    several = sets.groupBy("id").agg(F.min("set").alias("low"), F.max("set").alias("high")).filter("low <> high").select("id")
+    of_id = nodes.join(several, "id", "left_semi").join(same, ["set_a", "set_b"]).select("id", "node").distinct()
+    least = of_id.groupBy("id").agg(F.min("node").alias("a"))
+    return of_id.join(least, "id").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+
+
 def _across(
     bucketed: DataFrame, compared: DataFrame, placed: DataFrame, texts: DataFrame, shingle: int, percent: int
 ) -> DataFrame:

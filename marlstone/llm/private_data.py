@@ -38,8 +38,10 @@ _NEEDS = {"email": "@", "phone": "+"}
 CONFIDENCE = 0.8
 SUPPORT = 3
 TURNS = 3
+# Matches of a text that are placed together.
+_TOGETHER = 128
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
-_ROW = "_private_row"
+_ROW, _GIVEN = "_private_row", "_private_given"
 _INSTANCES = "array<struct<start:int,end:int,word:string,left:string>>"
 
 
@@ -55,7 +57,16 @@ def _matches(text: Column, pattern: str, needs: str | None) -> Column:
         one = F.struct(start.alias("start"), pair["match"].alias("match"), pair["before"].alias("before"))
         return F.struct((start + F.char_length(pair["match"])).alias("at"), F.array_append(done["out"], one).alias("out"))
 
-    placed = F.aggregate(pairs, begin, step, lambda done: done["out"])
+    def block_step(done: Column, block: Column) -> Column:
+        inside = F.aggregate(block, F.struct(done["at"].alias("at"), begin["out"].alias("out")), step)
+        # An array of one, so that the block is gone through once.
+        joined = F.transform(F.array(inside), lambda i: F.struct(i["at"].alias("at"), F.concat(done["out"], i["out"]).alias("out")))
+        return F.element_at(joined, 1)
+
+    # Appending copies what is there, so matches are placed in blocks and blocks are joined.
+    last = F.greatest(F.size(found) - 1, F.lit(0))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(last / _TOGETHER)), lambda b: F.slice(pairs, (b * _TOGETHER + 1).cast("int"), _TOGETHER))
+    placed = F.aggregate(blocks, begin, block_step, lambda done: done["out"])
     none = F.array().cast("array<struct<start:int,match:string,before:string>>")
     some = text.contains(needs) if needs else text.rlike("[0-9@]")
     return F.when(some, placed).otherwise(none)
@@ -155,24 +166,27 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     column n_chars, which is counted anew.
     """
     columns = docs.columns
-    extracted = found(written(extract(docs, text).withColumn(_ROW, F.monotonically_increasing_id()), "private"))
+    # The other columns travel in a struct, where no name can clash with those that are added.
+    given = docs.select(F.struct(*[F.col(c) for c in columns if c != text]).alias(_GIVEN), F.col(text).alias("text"))
+    extracted = found(written(extract(given).withColumn(_ROW, F.monotonically_increasing_id()), "private"))
     spans = F.array_sort(F.concat("base", "more"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(done: Column, s: Column) -> Column:
-        kept = F.substring(F.col(text), done["at"] + 1, s["start"] - done["at"])
+        kept = F.substring(F.col("text"), done["at"] + 1, s["start"] - done["at"])
         fresh = s["start"] >= done["at"]
         out = F.when(fresh, F.concat(done["out"], kept, F.element_at(names, s["kind"] + 1))).otherwise(done["out"])
         return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
 
     whole = F.aggregate(
-        spans, begin, step, lambda done: F.concat(done["out"], F.substring(F.col(text), done["at"] + 1, F.char_length(F.col(text))))
+        spans, begin, step, lambda done: F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.char_length(F.col("text"))))
     )
-    out = extracted.withColumn(text, F.when(F.size(spans) > 0, whole).otherwise(F.col(text)))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    out = extracted.select(_GIVEN, F.when(F.size(spans) > 0, whole).otherwise(F.col("text")).alias("text"))
+    values = {c: F.col(f"{_GIVEN}.`{c}`") for c in columns if c != text} | {text: F.col("text")}
+    if "n_chars" in columns and text != "n_chars":
+        values["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[values[c].alias(c) for c in columns])
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
