@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm import decontaminate, language, near_dedup, packing, private_data
@@ -18,29 +18,44 @@ from marlstone.sources.scratch import written
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _free(docs: DataFrame) -> str:
+    """A column name that docs does not have."""
+    names = {c.lower() for c in docs.columns}
+    return next(name for name in (f"_stage_{i}" for i in range(len(names) + 1)) if name not in names)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without letters and ambiguous ones go."""
     ship(spark)
     held_out = F.coalesce(language.remainder("doc_id", 3) == 1, F.lit(False))
     model = language.fit(docs.filter(~held_out), "text", "lang", F.col("doc_id"))
-    told = language.identify(docs, model).filter(~F.col("ambiguous") & (F.col("lang_pred") != language.UNDETERMINED))
-    return told.select(*docs.columns)
+    told = _free(docs)
+    decided = docs.withColumn(told, language.decided(docs, model))
+    known = ~F.col(f"{told}.ambiguous") & (F.col(f"{told}.lang_pred") != language.UNDETERMINED)
+    return decided.filter(known).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """The smallest id of each group of near copies: five-word shingles, similarity 0.8 or more.
+
+    One row of that id stays, if it has several. Documents without an id, which have no copies, all
+    stay.
+    """
     ship(spark)
-    kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    # Null-safe, so that documents without an id, which have no copies, stay.
-    same = docs["doc_id"].eqNullSafe(kept["doc_id"])
-    return docs.join(kept, same, "left_semi")
+    kept = near_dedup.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    place = _free(docs)
+    # Which of them does not depend on the order of rows.
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns))
+    numbered = docs.join(kept, "doc_id", "left_semi").withColumn(place, F.row_number().over(one))
+    return numbered.filter(F.col(place) == 1).select(*docs.columns).union(docs.filter("doc_id IS NULL"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
     ship(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.leaks(docs, items).filter(F.size("leaks") == 0).select(*docs.columns)
+    found = _free(docs)
+    return decontaminate.leaks(docs, items, into=found).filter(F.size(found) == 0).select(*docs.columns)
 
 
 def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
