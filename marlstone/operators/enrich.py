@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.operators.joins import hot_keys, salted_left_join
+from marlstone.operators.joins import frequent_keys, salted_left_join
 from marlstone.operators.validity import with_high_value_flag
 
 
@@ -59,21 +59,21 @@ def enrich(
     Sales whose key is in no dimension keep NULLs. Leave out a dimension whose columns the next
     step does not use: nothing tells Spark that a dimension has one row per key, so it cannot drop
     the join by itself. No join strategy is forced: a dimension that is small enough is broadcast
-    by its size, any other is shuffled and adaptive execution splits hot keys. Name a key in `salt`
-    (customer_id, say) to split its hot keys up front instead, which costs one more pass over that
-    column. `processed_at` adds the audit timestamp.
+    by its size, any other is shuffled and adaptive execution splits hot keys. Name keys in `salt`
+    (customer_id, say) to split their hot keys up front instead, which costs one more pass over those
+    columns, however many, at once. `processed_at` adds the audit timestamp.
     """
     given = ((CUSTOMER, customers), (PRODUCT, products), (REGION, regions))
+    salted = [dimension.key for dimension, table in given if table is not None and dimension.key in salt]
+    hot = frequent_keys(sales, salted) if salted else {}
     df = with_high_value_flag(sales)
     for dimension, table in given:
         if table is None:
             continue
         looked_up = table.select(dimension.key, *dimension.columns)
-        if dimension.key in salt:
-            hot = hot_keys(sales, dimension.key)
-            df = salted_left_join(
-                df, looked_up, dimension.key, hot, spread_by=F.struct("sale_id", "sale_date")
-            )
+        if dimension.key in hot:
+            spread_by = F.struct("sale_id", "sale_date")
+            df = salted_left_join(df, looked_up, dimension.key, hot[dimension.key], spread_by=spread_by)
         else:
             df = df.join(looked_up, dimension.key, "left")
     df = df.select(*[c for c in ENRICHED if c in df.columns])

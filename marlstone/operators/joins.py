@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The most that Spark's frequent-items summary takes.
+_MOST_COUNTERS = 1 << 19
+
 
 def hot_keys(
     df: DataFrame, key: str, share: float | None = None, partitions: int | None = None
@@ -22,6 +28,34 @@ def hot_keys(
     return hot_of_counts(counted, key, "_rows", share, partitions)
 
 
+def frequent_keys(
+    df: DataFrame, keys: Sequence[str], share: float | None = None, partitions: int | None = None
+) -> dict[str, DataFrame]:
+    """For each key column what `hot_keys` gives, all from one pass that shuffles no keys.
+
+    Every task keeps a bounded number of counters per column (a frequent-items summary), and the
+    summaries are merged. With 16 / share counters a count is off by less than a quarter of the
+    share, so no key above it is missed; keys just below it may be listed, which splits them
+    needlessly and changes no result. Runs at once: at most 2 / share keys a column reach the driver.
+    """
+    spark = df.sparkSession
+    partitions = partitions or _shuffle_partitions(df)
+    share = share or 1 / partitions
+    most = ceil(2 / share)
+    counters = min(1 << ceil(16 / share).bit_length(), _MOST_COUNTERS)
+    counted = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.expr(f"approx_top_k(`{key}`, {min(most, counters)}, {counters})").alias(key) for key in keys],
+    ).first()
+    found = {}
+    for key in keys:
+        shares = [(item["item"], item["count"] / counted["rows"]) for item in counted[key] or ()]
+        hot = [(k, ceil(own * partitions)) for k, own in shares if k is not None and own >= share]
+        schema = f"`{key}` {df.schema[key].dataType.simpleString()}, _salts int"
+        found[key] = spark.createDataFrame(hot, schema)
+    return found
+
+
 def hot_of_counts(
     counted: DataFrame,
     key: str,
@@ -49,7 +83,7 @@ def salted_left_join(
     Rows of the `hot` keys are spread over their number of salts, rows without a key over all
     partitions, by `spread_by`, an expression of the left row that varies within a key. Only the
     right rows of hot keys are repeated, once per salt, which adds up to little more than the
-    number of partitions. `hot` must come from `hot_keys` or `hot_of_counts`: the share bounds its
+    number of partitions. `hot` must come from `hot_keys`, `frequent_keys` or `hot_of_counts`: the share bounds its
     size, which is what allows broadcasting it.
     """
     marked = F.broadcast(hot)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marlstone.plans import features, fixtures, history
 from marlstone.plans.oracle_ctes import with_ctes
 from marlstone.plans.registry import register
+from marlstone.sources import versions
 from marlstone.sources.scratch import scratch_path, written
 
 # A day inside a month and the last day of one.
@@ -47,3 +48,17 @@ def customer_features_backfill(spark, sf_dir):
         return found.drop("feature_extraction_ts").withColumn("as_of", F.lit(day))
 
     return reduce(DataFrame.unionByName, [as_of(day) for day in _DAYS])
+
+
+@register(
+    "versioned_replace",
+    with_ctes("select * exclude (list_price), list_price * 2 as list_price from products where active", "products"),
+)
+def versioned_replace(spark, sf_dir):
+    """The products as a second version, made of the first one while that is still being read."""
+    root = scratch_path(spark, "products-versions")
+    versions.replace(fixtures.products(spark, sf_dir), root)
+    first = versions.read_current(spark, root)
+    doubled = first.filter("active").withColumn("list_price", (F.col("list_price") * 2).cast("decimal(18,2)"))
+    versions.replace(doubled, root)
+    return versions.read_current(spark, root)

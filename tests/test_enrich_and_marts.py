@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marlstone import rules
 from marlstone.operators import marts
 from marlstone.operators.enrich import enrich
-from marlstone.operators.joins import hot_keys, salted_left_join
+from marlstone.operators.joins import frequent_keys, hot_keys, salted_left_join
 from marlstone.operators.validity import valid_sales
 from marlstone.plans import fixtures
 from tests.conftest import rows
@@ -121,3 +121,19 @@ def test_top_products_breaks_ties(spark, dims):
     df = spark.createDataFrame([sale(1, product=1), sale(2, product=2)], SALES)
     names = [r.product_name for r in marts.top_products(enrich(df, **dims), 1).collect()]
     assert names == ["bolt"]
+
+
+def test_frequent_keys_of_all_columns_miss_no_hot_key(spark):
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit("x")).otherwise(F.col("id").cast("string")).alias("t"),
+        F.col("id").alias("unique"),
+    ).repartition(7)
+    found = frequent_keys(df, ["k", "t", "unique"], share=0.1, partitions=30)
+    assert rows(hot_keys(df, "k", share=0.1, partitions=30)) == [(7, 10)]
+    # Counts of the summary are upper bounds.
+    assert rows(found["k"]) in ([(7, 10)], [(7, 11)])
+    assert rows(found["t"]) in ([("x", 15)], [("x", 16)])
+    assert rows(found["unique"]) == []
+    none = frequent_keys(df.limit(0), ["k"])
+    assert rows(none["k"]) == [] and none["k"].schema["k"].dataType == df.schema["k"].dataType
