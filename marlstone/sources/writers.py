@@ -73,9 +73,13 @@ def register_parquet_table(spark: SparkSession, name: str, path: str) -> None:
 
     Column and partition types come from the files and folder names. Run again, it adds new
     folders; columns that have changed since are logged, and the table keeps those it has. A table
-    known under another folder is moved to this one.
+    known under another folder is moved to this one. The catalog knows the folder of every single
+    partition too, so a partitioned table is moved by registering it anew; its files stay.
     """
     known = spark.catalog.tableExists(name)
+    if known and _is_partitioned(spark, name) and _location(spark, name) != path.removeprefix("file:").rstrip("/"):
+        spark.sql(f"DROP TABLE {name}")
+        known = False
     location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
     if known:
@@ -98,6 +102,11 @@ def schema_changes(table: DataFrame, files: DataFrame) -> list[str]:
     return added + removed + retyped
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return described.first()["data_type"].removeprefix("file:").rstrip("/")
+
+
 def _is_partitioned(spark: SparkSession, name: str) -> bool:
     return any(column.isPartition for column in spark.catalog.listColumns(name))
 
