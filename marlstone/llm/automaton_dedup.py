@@ -12,8 +12,8 @@ which has no bound. Runs come to the shard that can match them instead, and ever
 bounded.
 
 Defined results: null text has no words. A row without an id neither loses words nor counts as an
-earlier document. Equal rows of one id do not remove each other; rows of one id are expected to be
-equal.
+earlier document. Rows of one id, equal or not, do not remove each other's words; each is held against
+its own text.
 """
 
 from __future__ import annotations
@@ -118,7 +118,7 @@ def solve(table: pa.Table) -> pa.Table:
             for start, least in automaton.windows(piece.split(b" "), SIZE):
                 out.extend((row, start) for row in rows if least < ids[row])
     row, start = (np.array(x, np.int64) for x in (zip(*out, strict=True) if out else ([], [])))
-    return pa.table({"id": ids[row], "first": first[row] + start, "count": np.ones(len(row), np.int64)})
+    return pa.table({"id": ids[row], "first": first[row] + start, "count": np.ones(len(row), np.int64), "twin": table.column("twin").take(pa.array(row))})
 
 
 def _digest(ids: list, units: Units, starts: list[np.ndarray]) -> pa.RecordBatch:
@@ -139,10 +139,11 @@ def _digest(ids: list, units: Units, starts: list[np.ndarray]) -> pa.RecordBatch
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, n_removed, kept_sha256) of every row."""
-    given = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    own = F.col(key).cast("long")
+    given = docs.select(own.alias("id"), F.col(text).alias("text"), own.alias("key"))
     schema = "id long, n_words long, n_removed long, kept_sha256 string"
     found = repeated_windows(given, word_units, SIZE, _GRAM, solve, True, _digest, schema, packed=True)
-    return found.withColumnRenamed("id", key)
+    return found.withColumnRenamed("key", key)
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -112,10 +112,13 @@ def repeated_windows(
     digest_schema: str,
     packed: bool = False,
 ) -> DataFrame:
-    """The digest of every row of docs (id, text), given the windows that occur elsewhere.
+    """The digest of every row of docs (id, text, key), given the windows that occur elsewhere.
 
-    `solve` gets runs (anchor, id, first, count, ahead, data), all those of an anchor together, and
-    returns (id, first, count) of the windows that repeat. With `earlier`, a window repeats if it
+    A row without id takes no part but for its digest. Rows may share an id, and then each is held
+    against its own text. `key` is handed through to the result in place of the id.
+
+    `solve` gets runs (anchor, id, first, count, ahead, data, twin), all those of an anchor together,
+    and returns (id, first, count, twin) of the windows that repeat. With `earlier`, a window repeats if it
     also starts in a document with a smaller id, else if it starts anywhere else.
     `digest` gets the ids, the units, and for every row the starts of its repeated windows.
     With `packed`, texts are compressed on their way between steps, which trades CPU time for disk.
@@ -131,7 +134,8 @@ def repeated_windows(
 
     def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in chunks(whole, "text")):
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pack(batch.column("text"))], ["id", "text"])
+            columns = [batch.column("id"), pack(batch.column("text")), batch.column("key")]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "text", "key"])
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in chunks(whole, "text")):
@@ -147,8 +151,8 @@ def repeated_windows(
     # Written, so that the next join is of two plain shuffles, whose hot anchors adaptive execution splits.
     again = written(counted.filter(several).select("anchor", (F.col("n") > HOT).alias("hot")), "again")
     places = rows.join(again, "anchor").groupBy("id").agg(F.collect_list(F.struct("at", "hot")).alias("places"))
-    stored = docs.select("id", "text").mapInArrow(packing, "id long, text binary") if packed else docs
-    joined = stored.join(places, "id", "left").select("id", "text", F.col("places.at").alias("at"), F.col("places.hot").alias("hot"))
+    stored = docs.select("id", "text", "key").mapInArrow(packing, "id long, text binary, key long") if packed else docs
+    joined = stored.join(places, "id", "left").select("id", "text", "key", F.col("places.at").alias("at"), F.col("places.hot").alias("hot"))
 
     # Rows without a repeated anchor are done; the text of the others is kept for the next steps.
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,15 +162,16 @@ def repeated_windows(
             if done.num_rows:
                 units = units_in(done.column("text"))
                 out = digest(done.column("id").to_pylist(), units, [np.zeros(0, np.int64)] * done.num_rows)
-                yield _with(out, done.num_rows, None, packed)
+                yield _with(out, done.column("key"), None, packed)
             left = batch.filter(open_)
             if left.num_rows:
                 empty = digest([], units_of(Texts.of(pa.array([], pa.string()))), [])
                 blank = [pa.nulls(left.num_rows, f.type) if f.name != "id" else left.column("id") for f in empty.schema]
-                yield _with(pa.RecordBatch.from_arrays(blank, empty.schema.names), left.num_rows, left, packed)
+                yield _with(pa.RecordBatch.from_arrays(blank, empty.schema.names), left.column("key"), left, packed)
 
-    kept = written(joined.mapInArrow(settle, f"{digest_schema}, text {text_type}, at array<int>, hot array<boolean>"), "settled")
-    waiting = kept.filter("at IS NOT NULL").select("id", "text", "at", "hot")
+    kept = written(joined.mapInArrow(settle, f"{digest_schema}, key long, text {text_type}, at array<int>, hot array<boolean>"), "settled")
+    # Rows of one id are told apart by their texts.
+    waiting = kept.filter("at IS NOT NULL").select("id", "text", "key", "at", "hot", F.xxhash64("text").alias("twin"))
     total = waiting.agg(F.coalesce(F.sum(F.size("at")), F.lit(0))).first()[0]
     groups = max(1, -(-total // _GROUP_RUNS))
 
@@ -179,7 +184,7 @@ def repeated_windows(
                 at = batch.column("at").flatten().to_numpy() + np.repeat(units.first[:-1], n)
                 is_hot = batch.column("hot").flatten().to_numpy(zero_copy_only=False).astype(bool)
                 pick = np.flatnonzero(np.isin(found.at, at[is_hot == hot]))
-                ids = batch.column("id").take(pa.array(found.doc[pick]))
+                ids, twin = (batch.column(c).take(pa.array(found.doc[pick])) for c in ("id", "twin"))
                 first, count = found.first[pick], found.count[pick]
                 start = first - units.first[found.doc[pick]]
                 if not hot:
@@ -187,36 +192,36 @@ def repeated_windows(
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(found.anchor[pick].view(np.int64)), ids, pa.array(start), pa.array(count),
-                            pa.array(found.at[pick] - first), pa.array(data, pa.binary()),
+                            pa.array(found.at[pick] - first), pa.array(data, pa.binary()), twin,
                         ],
-                        ["anchor", "id", "first", "count", "ahead", "data"],
+                        ["anchor", "id", "first", "count", "ahead", "data", "twin"],
                     )
                 else:
                     windows = np.repeat(first, count) + run_index(count)
                     whole = gram_hashes(units, size)[windows]
                     other = Units(units.first, units.doc, b"", units.start, units.end, mix(units.hash + GOLDEN))
                     check = gram_hashes(other, size)[windows]
+                    run_of = pa.array(np.repeat(np.arange(len(pick)), count))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(whole.view(np.int64)), pa.array(check.view(np.int64)),
-                            ids.take(pa.array(np.repeat(np.arange(len(pick)), count))),
-                            pa.array(np.repeat(start, count) + run_index(count)),
+                            pa.array(whole.view(np.int64)), pa.array(check.view(np.int64)), ids.take(run_of),
+                            pa.array(np.repeat(start, count) + run_index(count)), twin.take(run_of),
                         ],
-                        ["a", "b", "id", "first"],
+                        ["a", "b", "id", "first", "twin"],
                     )
 
         return run
 
-    contexts = waiting.mapInArrow(emit(False), "anchor long, id long, first long, count long, ahead long, data binary")
+    contexts = waiting.mapInArrow(emit(False), "anchor long, id long, first long, count long, ahead long, data binary, twin long")
     grouped = contexts.groupBy(F.pmod("anchor", F.lit(groups)).alias("group"))
-    spans = grouped.applyInArrow(solve, "id long, first long, count long")
-    hot = waiting.filter(F.exists("hot", lambda h: h)).mapInArrow(emit(True), "a long, b long, id long, first long")
+    spans = grouped.applyInArrow(solve, "id long, first long, count long, twin long")
+    hot = waiting.filter(F.exists("hot", lambda h: h)).mapInArrow(emit(True), "a long, b long, id long, first long, twin long")
     windows = hot.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
     frequent = hot.join(windows.filter("n > 1"), ["a", "b"]).filter("low < id" if earlier else "n > 1")
-    spans = spans.union(frequent.select("id", "first", F.lit(1).cast("long").alias("count")))
-    spans = spans.groupBy("id").agg(F.collect_list(F.struct("first", "count")).alias("spans"))
-    ready = waiting.select("id", "text").join(spans, "id", "left")
-    ready = ready.select("id", "text", F.col("spans.first").alias("first"), F.col("spans.count").alias("count"))
+    spans = spans.union(frequent.select("id", "first", F.lit(1).cast("long").alias("count"), "twin"))
+    spans = spans.groupBy("id", "twin").agg(F.collect_list(F.struct("first", "count")).alias("spans"))
+    ready = waiting.select("id", "twin", "text", "key").join(spans, ["id", "twin"], "left")
+    ready = ready.select("id", "text", "key", F.col("spans.first").alias("first"), F.col("spans.count").alias("count"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -228,16 +233,18 @@ def repeated_windows(
                     starts.append(np.repeat(first.values.to_numpy(), n) + run_index(n))
                 else:
                     starts.append(np.zeros(0, np.int64))
-            yield digest(batch.column("id").to_pylist(), units, starts)
+            out = digest(batch.column("id").to_pylist(), units, starts)
+            yield pa.RecordBatch.from_arrays([*out.columns, batch.column("key")], [*out.schema.names, "key"])
 
-    columns = [c for c in kept.columns if c not in ("text", "at", "hot")]
-    return kept.filter("at IS NULL").select(*columns).union(ready.mapInArrow(finish, digest_schema))
+    columns = ["key", *(c for c in kept.columns if c not in ("id", "key", "text", "at", "hot"))]
+    finished = ready.mapInArrow(finish, f"{digest_schema}, key long").select(*columns)
+    return kept.filter("at IS NULL").select(*columns).union(finished)
 
 
-def _with(out: pa.RecordBatch, n: int, left: pa.RecordBatch | None, packed: bool) -> pa.RecordBatch:
+def _with(out: pa.RecordBatch, key: pa.Array, left: pa.RecordBatch | None, packed: bool) -> pa.RecordBatch:
     types = {"text": pa.binary() if packed else pa.string(), "at": pa.list_(pa.int32()), "hot": pa.list_(pa.bool_())}
-    more = [pa.nulls(n, t) if left is None else left.column(c).cast(t) for c, t in types.items()]
-    return pa.RecordBatch.from_arrays([*out.columns, *more], [*out.schema.names, *types])
+    more = [pa.nulls(len(key), t) if left is None else left.column(c).cast(t) for c, t in types.items()]
+    return pa.RecordBatch.from_arrays([*out.columns, key, *more], [*out.schema.names, "key", *types])
 
 
 def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:

@@ -9,8 +9,8 @@ that position's rank, and the bytes behind. Suffixes that fall together are the
 memory is bounded by the bucket.
 
 Defined results: null text is empty. Matches never cross documents, overlapping ones count. Equal
-rows repeat each other. A row without an id goes by the hash of its text. Rows of one
-id are expected to be equal.
+rows repeat each other. Rows without an id take part like others and come back without one. Rows of
+one id are rows of their own: each is held against its own text.
 """
 
 from __future__ import annotations
@@ -142,6 +142,7 @@ def solve(table: pa.Table) -> pa.Table:
             "id": table.column("id").take(pa.array(pick)),
             "first": np.concatenate([*starts, np.zeros(0, np.int64)]).astype(np.int64),
             "count": np.concatenate([*counts, np.zeros(0, np.int64)]).astype(np.int64),
+            "twin": table.column("twin").take(pa.array(pick)),
         }
     )
 
@@ -163,9 +164,12 @@ def _digest(ids: list, units: Units, starts: list[np.ndarray]) -> pa.RecordBatch
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    given = docs.select(F.coalesce(F.col(key).cast("long"), F.xxhash64(F.coalesce(F.col(text), F.lit("")))).alias("id"), F.col(text).alias("text"))
+    own = F.col(key).cast("long")
+    # Rows without an id take part under a hash, which stays inside.
+    inside = F.coalesce(own, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    given = docs.select(inside.alias("id"), F.col(text).alias("text"), own.alias("key"))
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return repeated_windows(given, byte_units, SIZE, _GRAM, solve, False, _digest, schema).withColumnRenamed("id", key)
+    return repeated_windows(given, byte_units, SIZE, _GRAM, solve, False, _digest, schema).withColumnRenamed("key", key)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
