@@ -36,7 +36,7 @@ def clicks_compacted(spark, sf_dir):
     for half in range(2):
         events.filter(F.col("event_id") % 2 == half).write.mode("append").parquet(source)
         arrived = stream.file_clicks(spark, source, events.schema)
-        stream.start_batch_ingest(arrived, landing, progress, event_time="ts", interval=None).awaitTermination()
-        compaction.compact(spark, landing, root, schema, checkpoint=progress)
+        stream.start_ingest(arrived, landing, progress, event_time="ts", interval=None).awaitTermination()
+        compaction.compact(spark, landing, root, schema)
     columns = ("event_id", "user_id", "event_type", "value", "props", *stream.PARTITIONS)
     return compaction.read_compacted(spark, root, schema).select(*columns)

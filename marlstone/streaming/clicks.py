@@ -134,6 +134,8 @@ def batch_writer(
         query = context.getLocalProperty("sql.streaming.queryId") or "none"
         (
             with_event_partitions(batch, event_time, processed_at)
+            # Not every task leaves a file in every hour.
+            .hint("rebalance", *PARTITIONS)
             .withColumns({"query": F.lit(query), "batch": F.lit(batch_id)})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
