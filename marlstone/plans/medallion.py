@@ -13,13 +13,14 @@ from marlstone.operators import staging
 from marlstone.operators.enrich import enrich
 from marlstone.operators.marts import sales_mart
 from marlstone.operators.observed import Watch, watch_checks, watch_rejects
+from marlstone.operators.pii import mask_as_null
 from marlstone.operators.quality import enforce, evaluate, gate_report, run_suite
 from marlstone.operators.validity import rejected_sales, sale_rules, valid_sales
 from marlstone.plans import suites
 from marlstone.plans.features import customer_features
 from marlstone.sources.quarantine import Ingested, ingest_csv
 from marlstone.sources.scratch import written
-from marlstone.sources.writers import dated_path, write_document, write_parquet
+from marlstone.sources.writers import dated_path, register_parquet_table, write_document, write_parquet
 
 _MONTH = ("ano", "mes")
 # Stored table name -> (library name, staging rules, stored partition columns).
@@ -95,7 +96,7 @@ def build_silver(
     processed_at: datetime,
     counted: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Valid sales, enriched, and next to them the rejected ones.
+    """Valid sales, enriched, and next to them the rejected ones and the customers for marketing.
 
     `counted`, if given, receives what was counted while writing: `rejects`, the reject counts of
     bronze sales, and `enriched_sales`, the row checks of the silver suite.
@@ -117,6 +118,7 @@ def build_silver(
     )
     stored = to_stored(enriched)
     checked = watch_checks(stored, checks)
+    write_marketing(staged["customers"], f"{lake.silver}/clientes_marketing")
     target = f"{lake.silver}/vendas"
     write_parquet(stored, target, _MONTH, whole=True, observed=(checked.seen, checked.counts))
     if counted is not None:
@@ -169,16 +171,58 @@ def build_features(
     return from_stored(spark.read.parquet(target))
 
 
+def write_marketing(customers: DataFrame, target: str) -> None:
+    """Customers for marketing: the tax number is NULL, every other column stays."""
+    write_parquet(to_stored(mask_as_null(customers, ["cpf"])), target)
+
+
+# The masked column keeps the length it has in the catalog of the source.
+_MARKETING_TYPES = {"cpf": "VARCHAR(14)"}
+
+
+def register(spark: SparkSession, lake: Lake, prefix: str) -> list[str]:
+    """Register what a run wrote as tables of `<prefix>_bronze`, `_silver` and `_gold`; their names.
+
+    Run again, it picks up new months and moved folders.
+    """
+    layers = {
+        "bronze": (lake.bronze, tuple(_TABLES)),
+        "silver": (lake.silver, ("vendas", "vendas_rejeitadas", "clientes_marketing")),
+        "gold": (lake.gold, ("relatorio_vendas", "features_clientes")),
+    }
+    names = []
+    for layer, (root, tables) in layers.items():
+        database = f"{prefix}_{layer}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for table in tables:
+            types = _MARKETING_TYPES if table == "clientes_marketing" else None
+            register_parquet_table(spark, f"{database}.{table}", f"{root}/{table}", types)
+            names.append(f"{database}.{table}")
+    return names
+
+
 def run(
-    spark: SparkSession, lake: Lake, as_of: date, now: datetime, schemas: dict | None = None
+    spark: SparkSession,
+    lake: Lake,
+    as_of: date,
+    now: datetime,
+    schemas: dict | None = None,
+    *,
+    register_as: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Ingest, silver, gate, gold, features, in this order; a failed gate ends the run."""
+    """Ingest, silver, gate, gold, features, in this order; a failed gate ends the run.
+
+    With `register_as` the tables of all layers are registered at the end, in databases of that prefix.
+    """
     ingest(spark, lake, schemas)
     counted: dict[str, DataFrame] = {}
     silver = build_silver(spark, lake, now, counted)
     gate(spark, lake, now, counted)
-    return {
+    out = {
         "silver": silver,
         "mart": build_gold(spark, lake, now),
         "features": build_features(spark, lake, as_of, now),
     }
+    if register_as:
+        register(spark, lake, register_as)
+    return out

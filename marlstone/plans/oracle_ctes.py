@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _NEEDS = {
     "sales": (),
     "dirty_sales": ("sales",),
@@ -202,3 +204,11 @@ def with_ctes(body: str, *names: str, **extra: str) -> str:
     parts = [f"{name} as ({_TEXT[name]})" for name in ordered]
     parts += [f"{name} as ({text})" for name, text in extra.items()]
     return f"with {', '.join(parts)} {body}" if parts else body
+
+
+def restated(name: str, **read: str) -> str:
+    """The text of a CTE that reads others in place of those named: restated("done", enriched="mine")."""
+    text = _TEXT[name]
+    for old, new in read.items():
+        text = re.sub(rf"\b(from|join) {old}\b", rf"\1 {new}", text)
+    return text

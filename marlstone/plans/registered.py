@@ -10,7 +10,7 @@ from marlstone.operators import customers as cust
 from marlstone.operators import evaluation, marts, pii, quality, ranking, staging, validity
 from marlstone.plans import churn, features, fixtures, suites
 from marlstone.plans.fixtures import AS_OF, EARLIER, NOW
-from marlstone.plans.oracle_ctes import mean2, mean2_of_means, mean6, rate4, with_ctes
+from marlstone.plans.oracle_ctes import mean2, mean2_of_means, mean6, rate4, restated, with_ctes
 from marlstone.plans.registry import REGISTRY, register
 from marlstone.sources import readers, writers
 from marlstone.sources.catalog import tables_of
@@ -123,49 +123,80 @@ def feature_table_read(spark, sf_dir):
     return readers.read_table(spark, name)
 
 
+_STAGED_SALES = """
+select try_cast(sale_id as bigint) as sale_id, try_cast(sale_date as date) as sale_date,
+  try_cast(year as integer) as year, try_cast(month as integer) as month,
+  try_cast(product_id as bigint) as product_id, try_cast(customer_id as bigint) as customer_id,
+  try_cast(region_id as integer) as region_id, try_cast(quantity as integer) as quantity,
+  try_cast(unit_price as decimal(18,2)) as unit_price,
+  try_cast(discount as decimal(5,4)) as discount,
+  try_cast(total_value as decimal(18,2)) as total_value, channel, status
+from raw_sales where sale_id is not null"""
+
+# Of raw tables staged by type: a sale may lack its key or its quantity.
+_STAGED_CTES = {
+    "staged_valid": restated("valid", dirty_sales="staged"),
+    "staged_enriched": restated("enriched", valid="staged_valid"),
+    "staged_done": restated("done", enriched="staged_enriched"),
+    "staged_mart": restated("mart", done="staged_done"),
+}
+
+
+def _model_sql(layer: str, model: str, source: str, key: str, value: str) -> str:
+    return (
+        f"select '{layer}' as layer, '{model}' as model, count(*) as row_count, "
+        f"cast(sum({key}) as bigint) as key_sum, cast(sum({value}) as decimal(38,2)) as value_sum from {source}"
+    )
+
+
 @register(
     "model_layers",
     with_ctes(
-        """
-select 'bronze' as layer, 'stg_sales' as model, count(*) as row_count from dirty_sales
-union all select 'bronze', 'stg_customers', count(*) from customers
-union all select 'bronze', 'stg_products', count(*) from products
-union all select 'bronze', 'stg_regions', count(*) from regions
-union all select 'silver', 'enriched_sales', count(*) from enriched
-union all select 'gold', 'sales_mart', count(*) from mart""",
-        "mart",
+        " union all ".join(
+            (
+                _model_sql("bronze", "stg_sales", "staged", "sale_id", "total_value"),
+                _model_sql("bronze", "stg_customers", "customers", "customer_id", "region_id"),
+                _model_sql("bronze", "stg_products", "products", "product_id", "list_price"),
+                _model_sql("bronze", "stg_regions", "regions", "region_id", "region_id"),
+                _model_sql("silver", "enriched_sales", "staged_enriched", "sale_id", "total_value"),
+                _model_sql("gold", "sales_mart", "staged_mart", "orders", "revenue"),
+            )
+        ),
+        "raw_sales", "customers", "products", "regions",
+        staged=_STAGED_SALES, **_STAGED_CTES,
     ),
 )
 def model_layers(spark, sf_dir):
     """Each model as a table of its layer's database; later models read the earlier tables."""
     run = _fresh("run")
     root = scratch_path(spark, run)
-    saved = {}
-
-    def save(layer, model, df):
-        saved[(layer, model)] = writers.save_model(df, f"{run}_{layer}", model, root)
-        return spark.table(saved[(layer, model)])
+    sums = []
+
+    def save(layer, model, df, key, value):
+        saved = spark.table(writers.save_model(df, f"{run}_{layer}", model, root))
+        counted = saved.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(key).cast("bigint").alias("key_sum"),
+            F.sum(value).cast("decimal(38,2)").alias("value_sum"),
+        )
+        sums.append(counted.select(F.lit(layer).alias("layer"), F.lit(model).alias("model"), *counted.columns))
+        return saved
 
     staged = [
-        save("bronze", f"stg_{name}", df)
-        for name, df in (
-            ("sales", fixtures.dirty_sales(spark, sf_dir)),
-            ("customers", fixtures.customers(spark, sf_dir)),
-            ("products", fixtures.products(spark, sf_dir)),
-            ("regions", fixtures.regions(spark, sf_dir)),
+        save("bronze", f"stg_{name}", df, key, value)
+        for name, df, key, value in (
+            ("sales", staging.stage(fixtures.raw_sales(spark, sf_dir), staging.SALES), "sale_id", "total_value"),
+            ("customers", fixtures.customers(spark, sf_dir), "customer_id", "region_id"),
+            ("products", fixtures.products(spark, sf_dir), "product_id", "list_price"),
+            ("regions", fixtures.regions(spark, sf_dir), "region_id", "region_id"),
         )
     ]
     from marlstone.operators.enrich import enrich
 
-    enriched = save("silver", "enriched_sales", enrich(validity.valid_sales(staged[0]), *staged[1:]))
-    save("gold", "sales_mart", marts.sales_mart(enriched))
-    counts = [
-        spark.table(name).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(layer).alias("layer"), F.lit(model).alias("model"), "row_count"
-        )
-        for (layer, model), name in saved.items()
-    ]
-    return _union(counts)
+    enriched = enrich(validity.valid_sales(staged[0]), *staged[1:])
+    enriched = save("silver", "enriched_sales", enriched, "sale_id", "total_value")
+    save("gold", "sales_mart", marts.sales_mart(enriched), "orders", "revenue")
+    return _union(sums)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -176,17 +207,6 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 # --- staging, validity, masking ----------------------------------------------------------------
 
-_STAGED_SALES = """
-select try_cast(sale_id as bigint) as sale_id, try_cast(sale_date as date) as sale_date,
-  try_cast(year as integer) as year, try_cast(month as integer) as month,
-  try_cast(product_id as bigint) as product_id, try_cast(customer_id as bigint) as customer_id,
-  try_cast(region_id as integer) as region_id, try_cast(quantity as integer) as quantity,
-  try_cast(unit_price as decimal(18,2)) as unit_price,
-  try_cast(discount as decimal(5,4)) as discount,
-  try_cast(total_value as decimal(18,2)) as total_value, channel, status
-from raw_sales where sale_id is not null"""
-
-
 @register("stg_sales", with_ctes(_STAGED_SALES, "raw_sales"))
 def stg_sales(spark, sf_dir):
     return staging.stage(fixtures.raw_sales(spark, sf_dir), staging.SALES)
@@ -817,11 +837,11 @@ def _failed_sql(check: quality.Check) -> str:
     }[check.kind]()
 
 
-def _suite_sql(suite: dict, layer: str) -> str:
+def _suite_sql(suite: dict, layer: str, tables: dict[str, str] | None = None) -> str:
     """One select per check: the SQL stays as plain as the checks are."""
     parts = []
     for table, checks in suite.items():
-        source = _SQL_TABLE[table]
+        source = (tables or _SQL_TABLE)[table]
         for position, check in enumerate(checks):
             head = (
                 f"select '{layer}' as layer, '{table}' as \"table\", {position} as position, "
@@ -875,10 +895,7 @@ def dq_suite_silver(spark, sf_dir):
     return _silver_results(spark, sf_dir)
 
 
-@register(
-    "dq_evaluate",
-    with_ctes(
-        """
+_EVALUATED_SQL = """
 select c.layer, c."table", c.position, c.category, c."check", c.total, c.failed, c.rate,
   t.threshold, c.rate <= t.threshold as passed,
   case when c.rate > t.threshold then '[' || t.label || '] ' || c."check" || ': taxa='
@@ -887,7 +904,13 @@ select c.layer, c."table", c.position, c.category, c."check", c.total, c.failed,
     || cast(c.total as varchar) || ')' end as message
 from checks c join (values ('integrity', 0.0::double, 'INTEGRIDADE', '0%'),
   ('completeness', 0.05::double, 'COMPLETUDE', '5%'), ('business', 0.0::double, 'NEGÓCIO', '0%'))
-  t(category, threshold, label, shown) on c.category = t.category""",
+  t(category, threshold, label, shown) on c.category = t.category"""
+
+
+@register(
+    "dq_evaluate",
+    with_ctes(
+        _EVALUATED_SQL,
         "enriched",
         checks=f"{_BRONZE_SQL} union all {_SILVER_SQL}",
     ),
@@ -897,20 +920,40 @@ def dq_evaluate(spark, sf_dir):
     return quality.evaluate(results)
 
 
+# Sources are checked as they come, staged models after their types are set.
+_CONTRACT_TABLE = _SQL_TABLE | {
+    "sales": "raw_sales", "customers": "raw_customers", "products": "raw_products", "stg_sales": "staged",
+}
+
+
 @register(
     "dq_contract_models",
     with_ctes(
-        " union all ".join(_suite_sql(suite, layer) for layer, suite in suites.CONTRACTS.items()),
-        "mart",
+        " union all ".join(
+            _suite_sql(suite, layer, _CONTRACT_TABLE) for layer, suite in suites.CONTRACTS.items()
+        ),
+        "mart", "raw_sales",
+        staged=_STAGED_SALES,
     ),
 )
 def dq_contract_models(spark, sf_dir):
-    bronze = _bronze_tables(spark, sf_dir)
+    raw = {
+        "sales": written(fixtures.raw_sales(spark, sf_dir), "raw-sales"),
+        "customers": fixtures.raw_customers(spark, sf_dir),
+        "products": fixtures.raw_products(spark, sf_dir),
+        "regions": fixtures.raw_regions(spark, sf_dir),
+    }
+    typed = {
+        "stg_sales": staging.stage(raw["sales"], staging.SALES),
+        "stg_customers": staging.stage(raw["customers"], staging.CUSTOMERS),
+        "stg_products": staging.stage(raw["products"], staging.PRODUCTS),
+        "stg_regions": staging.stage(raw["regions"], staging.REGIONS),
+    }
     enriched = written(fixtures.enriched_sales(spark, sf_dir), "enriched")
     models = {
-        **bronze,
-        **{f"stg_{name}": df for name, df in bronze.items()},
-        "stg_customers_marketing": pii.mask_as_null(bronze["customers"], ["cpf"]),
+        **raw,
+        **typed,
+        "stg_customers_marketing": pii.mask_as_null(typed["stg_customers"], ["cpf"]),
         "enriched_sales": enriched,
         "sales_mart": marts.sales_mart(enriched),
     }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -68,7 +68,9 @@ def write_document(document: DataFrame, path: str) -> None:
     document.coalesce(1).write.mode("overwrite").text(path)
 
 
-def register_parquet_table(spark: SparkSession, name: str, path: str) -> None:
+def register_parquet_table(
+    spark: SparkSession, name: str, path: str, types: Mapping[str, str] | None = None
+) -> None:
     """Register a Parquet folder as a table and pick up its partition folders.
 
     Column and partition types come from the files and folder names. Run again, it adds new
@@ -81,7 +83,11 @@ def register_parquet_table(spark: SparkSession, name: str, path: str) -> None:
         spark.sql(f"DROP TABLE {name}")
         known = False
     location = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
+    columns = ""
+    if types and not known:
+        stored = spark.read.parquet(path).dtypes
+        columns = f"({', '.join(f'`{c}` {types.get(c, kind)}' for c, kind in stored)})"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING parquet LOCATION '{location}'")
     if known:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         for change in schema_changes(spark.table(name), spark.read.parquet(path)):

@@ -55,8 +55,18 @@ def lake(spark, tmp_path, sales):
 
 def test_the_whole_run(spark, tmp_path):
     layers = lake(spark, tmp_path, SALES)
-    out = medallion.run(spark, layers, AS_OF, NOW)
+    out = medallion.run(spark, layers, AS_OF, NOW, register_as="whole_run")
     assert out["silver"].count() == 4
+    assert spark.table("whole_run_silver.vendas").count() == 4
+    assert spark.table("whole_run_gold.relatorio_vendas").filter("ano = 2024 AND mes = 6").count() == 1
+    marketing = spark.table("whole_run_silver.clientes_marketing")
+    assert [(r.email, r.cpf) for r in marketing.orderBy("id_cliente").collect()] == [
+        ("maria@x.com", None), ("joao@x.com", None)
+    ]
+    described = spark.sql("DESCRIBE whole_run_silver.clientes_marketing").filter("col_name = 'cpf'")
+    assert described.first().data_type == "varchar(14)"
+    for name in medallion.register(spark, layers, "whole_run"):
+        spark.sql(f"DROP TABLE {name}")
     mart = {(r.category, r.year, r.month): r for r in out["mart"].collect()}
     assert set(mart) == {("Eletrônicos", 2024, 1), ("Casa", 2024, 1), ("Eletrônicos", 2024, 6)}
     features = {r.customer_id: r for r in out["features"].collect()}
