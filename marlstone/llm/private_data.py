@@ -1,14 +1,17 @@
 """Personal data: fixed forms, and identifiers that appear where those forms do.
 
-The fixed forms (e-mail, IPv4, card, phone) are seeds. Words that hold a digit or an @ are
-instances, the word on their left is the pattern they stand in. The graph of patterns and instances,
-counted over all documents, is scored in turns: a pattern is as good as the share of its instances
-that are known personal data of one kind, an instance is as good as its best accepted pattern.
-Instances that no fixed form covers, but that stand in an accepted pattern, are found as well.
+The fixed forms (e-mail, IPv4, card, phone) are seeds, and so are long mixed words behind a label of
+secrets (`token = "..."`). Words that hold a digit or an @ are instances. The patterns an instance
+stands in are the one, two or three words on its left, the words on both sides, and the word on its
+left with the shape of the instance. The graph of patterns and instances, counted over all documents,
+is scored in turns: a pattern is as good as the share of its instances that are known personal data
+of one kind, an instance is as good as its best accepted pattern. Instances that no fixed form
+covers, but that stand in an accepted pattern, are found as well; of several patterns the most
+confident names the kind.
 
 Everything is a DataFrame expression. A pattern is accepted from three known instances on, at every
-size of the corpus. The accepted patterns are a table, joined to the instances by the left word, so their
-number has no bound; Spark splits a hot word.
+size of the corpus. The accepted patterns are a table, joined to the instances, so their number has no
+bound; Spark splits a hot word.
 
 Regexes never look back over a run of characters they have passed, so that long runs of digits or
 letters cost no more than other text.
@@ -25,6 +28,13 @@ from pyspark.sql import functions as F
 from marlstone.sources.scratch import written
 
 KINDS = ("email", "ip", "card", "phone")
+# Kinds of spans: base ones, and secrets, which the method adds.
+ALL_KINDS = (*KINDS, "secret")
+_SECRET = len(KINDS)
+# Labels that stand before a secret, and its form.
+_LABELS = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "api-key", "access_key", "private_key", "credential")
+_LABELLED = rf"""(?:^|[^a-z0-9])(?:{"|".join(_LABELS)})["']?+ ?+[:=]++["']?+$"""
+_SECRET_FORM = "^(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])[A-Za-z0-9+/_=.-]{16,}+$"
 # Forms of the seeds. The lookbehinds only keep a run from being tried at each place.
 _FORMS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -41,20 +51,27 @@ TURNS = 3
 # Matches of a text that are placed together.
 _TOGETHER = 128
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
+_MATCHES = "array<struct<start:int,match:string,before:string,after:string>>"
 _ROW, _GIVEN = "_private_row", "_private_given"
-_INSTANCES = "array<struct<start:int,end:int,word:string,left:string>>"
+_INSTANCES = "array<struct<start:int,end:int,word:string,contexts:array<string>,secret:boolean>>"
+_BLANKS = r"[\x20\x09-\x0D]++"
+# One to three whole words, and the blanks after them, at the end of a text.
+_LEFT = rf"(?<!{_WORD}])((?:{_WORD}]++{_BLANKS}){{1,3}})$"
+_CLOSING = r""".,;:!?)"'>\]}#$%&*"""
 
 
 def _matches(text: Column, pattern: str, needs: str | None) -> Column:
-    """Array of (start, match, before): every match, and the text between it and the one before."""
+    """Array of (start, match, before, after): every match, the text between it and the one before, and
+    the word that follows it unless that is a match."""
     split = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(found.alias("match"), F.slice(split, 1, F.size(found)).alias("before"))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,match:string,before:string>>").alias("out"))
+    after = F.transform(F.slice(split, 2, F.size(found)), lambda s: F.regexp_extract(s, rf"^{_BLANKS}({_WORD}]++)", 1))
+    pairs = F.arrays_zip(found.alias("match"), F.slice(split, 1, F.size(found)).alias("before"), after.alias("after"))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_MATCHES).alias("out"))
 
     def step(done: Column, pair: Column) -> Column:
         start = done["at"] + F.char_length(pair["before"])
-        one = F.struct(start.alias("start"), pair["match"].alias("match"), pair["before"].alias("before"))
+        one = F.struct(start.alias("start"), *[pair[c].alias(c) for c in ("match", "before", "after")])
         return F.struct((start + F.char_length(pair["match"])).alias("at"), F.array_append(done["out"], one).alias("out"))
 
     def block_step(done: Column, block: Column) -> Column:
@@ -67,7 +84,7 @@ def _matches(text: Column, pattern: str, needs: str | None) -> Column:
     last = F.greatest(F.size(found) - 1, F.lit(0))
     blocks = F.transform(F.sequence(F.lit(0), F.floor(last / _TOGETHER)), lambda b: F.slice(pairs, (b * _TOGETHER + 1).cast("int"), _TOGETHER))
     placed = F.aggregate(blocks, begin, block_step, lambda done: done["out"])
-    none = F.array().cast("array<struct<start:int,match:string,before:string>>")
+    none = F.array().cast(_MATCHES)
     some = text.contains(needs) if needs else text.rlike("[0-9@]")
     return F.when(some, placed).otherwise(none)
 
@@ -105,56 +122,92 @@ def extract(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("base", F.array_sort(F.concat(*spans))).drop(*[f"_{kind}" for kind in KINDS])
 
     def instance(m: Column) -> Column:
-        # Brackets, quotes and stops around a word are no part of it.
+        # Brackets, quotes and stops around a word are no part of it, nor is a label joined to it.
         bare = F.regexp_replace(m["match"], r"""^[("'<\[{]++""", "")
+        label = F.regexp_extract(bare, r"""^([A-Za-z_][A-Za-z0-9_.-]*+["']?+[:=]++)["']?+[^"']""", 1)
+        bare = F.regexp_replace(F.substring(bare, F.char_length(label) + 1, F.char_length(bare)), r"""^["']++""", "")
         start = m["start"] + F.char_length(m["match"]) - F.char_length(bare)
-        bare = F.regexp_replace(bare, r"""(?<![.,;:!?)"'>\]}])[.,;:!?)"'>\]}]++$""", "")
-        left = F.lower(F.regexp_extract(m["before"], rf"(?<!{_WORD}])({_WORD}]++)[\x20\x09-\x0D]++$", 1))
-        return F.struct(start.alias("start"), (start + F.char_length(bare)).alias("end"), bare.alias("word"), left.alias("left"))
+        bare = F.regexp_replace(bare, rf"(?<![{_CLOSING}])[{_CLOSING}]++$", "")
+        words = F.split(F.trim(F.regexp_replace(F.concat(F.regexp_extract(m["before"], _LEFT, 1), label), _BLANKS, " ")), " ")
+        return F.struct(
+            start.alias("start"), (start + F.char_length(bare)).alias("end"), bare.alias("word"),
+            F.transform(words, F.lower).alias("left"), F.lower(m["after"]).alias("right"),
+        )
 
-    return out.withColumn("instances", F.transform(_matches(value, _INSTANCE, None), instance).cast(_INSTANCES))
+    def placed(i: Column) -> Column:
+        left = i["left"]
+        secret = F.array_join(left, " ").rlike(_LABELLED) & i["word"].rlike(_SECRET_FORM)
+        return F.struct(i["start"], i["end"], F.lower(i["word"]), _contexts(left, i["right"], i["word"]), secret)
+
+    instances = F.transform(_matches(value, _INSTANCE, None), instance)
+    return out.withColumn("instances", F.transform(instances, placed).cast(_INSTANCES))
+
+
+def _shape(word: Column) -> Column:
+    """Digits as 9, runs of letters as a; long mixed words are told apart by their alphabet only."""
+    plain = F.regexp_replace(F.regexp_replace(word, "[0-9]", "9"), r"\p{L}++", "a")
+    mixed = F.when(word.rlike("^[0-9a-f]++$"), "hex").otherwise("mixed")
+    return F.when(word.rlike(_SECRET_FORM), mixed).otherwise(plain)
+
+
+def _contexts(left: Column, right: Column, word: Column) -> Column:
+    """The patterns of an instance; none without a word on its left."""
+
+    def last(n: int) -> Column:
+        return F.when(F.size(left) >= n, F.concat_ws(" ", F.lit(f"l{n}"), F.array_join(F.slice(left, -n, n), " ")))
+
+    near = F.element_at(left, -1)
+    both = F.when(right != "", F.concat_ws(" ", F.lit("lr"), near, right))
+    some = F.array_compact(F.array(last(1), last(2), last(3), both, F.concat_ws(" ", F.lit("ls"), near, _shape(word))))
+    return F.when(near != "", some).otherwise(F.array().cast("array<string>"))
+
+
+def _covered(i: Column) -> Column:
+    return F.filter("base", lambda b: (b["start"] < i["end"]) & (b["end"] > i["start"]))
 
 
 def patterns(extracted: DataFrame) -> DataFrame:
-    """(left, as): left word and number of the kind of the accepted patterns of an extracted corpus."""
-    one = extracted.select("base", F.explode("instances").alias("i")).filter("i.left <> '' AND i.word <> ''")
-    cover = F.filter("base", lambda b: (b["start"] < F.col("i.end")) & (b["end"] > F.col("i.start")))
-    edges = one.select("i.left", F.lower("i.word").alias("word"), F.coalesce(F.try_element_at(cover, F.lit(1))["kind"], F.lit(-1)).alias("kind"))
-    edges = written(edges.groupBy("left", "word", "kind").agg(F.count(F.lit(1)).alias("n")), "edges")
+    """(context, as, confidence): the accepted patterns of an extracted corpus and the number of their kind."""
+    one = extracted.select("base", F.explode("instances").alias("i")).filter("i.word <> ''")
+    kind = F.coalesce(F.try_element_at(_covered(F.col("i")), F.lit(1))["kind"], F.when(F.col("i.secret"), _SECRET), F.lit(-1))
+    edges = one.select(F.explode("i.contexts").alias("context"), "i.word", kind.alias("kind"))
+    edges = written(edges.groupBy("context", "word", "kind").agg(F.count(F.lit(1)).alias("n")), "edges")
     scores = edges.filter("kind >= 0").select("word", "kind", F.lit(1.0).alias("score")).distinct()
     before = None
     for _ in range(TURNS):
-        total = edges.groupBy("left").agg(F.sum("n").alias("total"))
-        known = edges.select("left", "word", "n").groupBy("left", "word").agg(F.sum("n").alias("n")).join(scores, "word")
-        good = known.groupBy("left", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("mass")).filter(F.col("mass") >= SUPPORT)
-        rated = good.join(total, "left").select("left", "kind", (F.col("mass") / F.col("total")).alias("confidence"))
-        rated = rated.filter(F.col("confidence") >= CONFIDENCE).groupBy("left").agg(F.max(F.struct("confidence", "kind")).alias("best"))
-        chosen = written(rated.select("left", F.col("best.kind").alias("as"), "best.confidence"), "patterns")
-        now = chosen.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(left, `as`))")).first()
+        total = edges.groupBy("context").agg(F.sum("n").alias("total"))
+        known = edges.groupBy("context", "word").agg(F.sum("n").alias("n")).join(scores, "word")
+        good = known.groupBy("context", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("mass")).filter(F.col("mass") >= SUPPORT)
+        rated = good.join(total, "context").select("context", "kind", (F.col("mass") / F.col("total")).alias("confidence"))
+        rated = rated.filter(F.col("confidence") >= CONFIDENCE).groupBy("context").agg(F.max(F.struct("confidence", "kind")).alias("best"))
+        chosen = written(rated.select("context", F.col("best.kind").alias("as"), "best.confidence"), "patterns")
+        now = chosen.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(context, `as`))")).first()
         if now == before:
             break
         before = now
-        fresh = edges.join(chosen, "left")
+        fresh = edges.join(chosen, "context")
         fresh = fresh.select("word", F.col("as").alias("kind"), F.col("confidence").alias("score"))
         seen = edges.filter("kind >= 0").select("word", "kind", F.lit(1.0).alias("score"))
         scores = written(fresh.union(seen).groupBy("word", "kind").agg(F.max("score").alias("score")), "scores")
-    return chosen.select("left", "as")
+    return chosen
 
 
 def found(extracted: DataFrame) -> DataFrame:
-    """Add `more` to a written corpus: spans (as in base) of instances in accepted patterns that no base span touches."""
-    new = F.filter(
-        "instances",
-        lambda i: (i["left"] != "") & (i["end"] > i["start"]) & ~F.exists("base", lambda b: (b["start"] < i["end"]) & (b["end"] > i["start"])),
-    )
-    one = extracted.select(_ROW, F.explode(new).alias("i")).select(_ROW, "i.start", "i.end", "i.left")
-    one = one.join(patterns(extracted), "left").select(_ROW, F.struct("start", F.col("as").alias("kind"), "end").alias("span"))
-    more = one.groupBy(_ROW).agg(F.array_sort(F.collect_list("span")).cast(_SPAN).alias("more"))
+    """Add `more` to a written corpus: spans (as in base) of labelled secrets and of instances in accepted
+    patterns, where no base span touches them."""
+    new = F.filter("instances", lambda i: (i["end"] > i["start"]) & (F.size(_covered(i)) == 0))
+    one = extracted.select(_ROW, F.explode(new).alias("i")).select(_ROW, "i.*")
+    secrets = one.filter("secret").select(_ROW, "start", "end", F.lit(1.0).alias("confidence"), F.lit(_SECRET).alias("as"))
+    others = one.filter("NOT secret").select(_ROW, "start", "end", F.explode("contexts").alias("context"))
+    others = others.join(patterns(extracted), "context").select(_ROW, "start", "end", "confidence", "as")
+    best = secrets.union(others).groupBy(_ROW, "start", "end").agg(F.max(F.struct("confidence", "as")).alias("best"))
+    spans = best.select(_ROW, F.struct("start", F.col("best.as").alias("kind"), "end").alias("span"))
+    more = spans.groupBy(_ROW).agg(F.array_sort(F.collect_list("span")).cast(_SPAN).alias("more"))
     return extracted.join(more, _ROW, "left").withColumn("more", F.coalesce("more", F.array().cast(_SPAN)))
 
 
 def span_text(spans: Column) -> Column:
-    names = F.array(*[F.lit(k) for k in KINDS])
+    names = F.array(*[F.lit(k) for k in ALL_KINDS])
     one = F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
     return F.concat_ws(",", one)
 
@@ -170,7 +223,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     given = docs.select(F.struct(*[F.col(c) for c in columns if c != text]).alias(_GIVEN), F.col(text).alias("text"))
     extracted = found(written(extract(given).withColumn(_ROW, F.monotonically_increasing_id()), "private"))
     spans = F.array_sort(F.concat("base", "more"))
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in ALL_KINDS])
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(done: Column, s: Column) -> Column:
@@ -199,4 +252,5 @@ def op2(spark, sf_dir: str) -> DataFrame:
         F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
         span_text(F.array_sort(F.concat("base", "more"))).alias("spans"),
         F.size("more").cast("long").alias("n_found"),
+        (F.size("base") + F.size("more")).cast("long").alias("n_spans"),
     )
