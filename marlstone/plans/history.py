@@ -9,6 +9,8 @@ the months before it and of the few sales of its own month.
 from __future__ import annotations
 
 from datetime import date, timedelta
+from math import ceil
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +24,15 @@ CELL = ("customer_id", "year", "month", "channel", "category", "segment", "state
 # The month by which a cell is stored, as yyyy-MM of the day of sale; sales without a day are known
 # at all times, so they are stored before all months.
 SOLD_IN, UNDATED = "sold_in", "0000-00"
+# Stored bytes of the tables per task that sums cells or customers.
+TASK_BYTES = 8 << 20
 
 
 def cells(enriched: DataFrame, *stored_by: str) -> DataFrame:
-    """One row per cell. Sales are summed within each task before they are shuffled."""
+    """One row per cell. Sales are spread by cell first, so that many sales of one customer share out."""
     done = F.col("status") == rules.COMPLETED
     value = F.when(done, F.col("total_value"))
-    return enriched.groupBy(*CELL, *stored_by).agg(
+    return _spread(enriched, *CELL, *stored_by).groupBy(*CELL, *stored_by).agg(
         F.count_if(done).alias("done"),
         F.count(F.when(done, F.col("sale_id"))).alias("orders"),
         F.count("sale_id").alias("sales"),
@@ -43,6 +47,20 @@ def cells(enriched: DataFrame, *stored_by: str) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows by their keys over as many tasks as the stored bytes they are read from ask for.
+
+    Left to itself, adaptive execution sizes tasks by compressed bytes, and wide rows that compress
+    well fill gigabytes of a task's memory. Rows that come from no file are left to it.
+    """
+    files = df.inputFiles()
+    if not files:
+        return df.repartition(*keys)
+    sizes = df.sparkSession.read.format("binaryFile").load([unquote(f) for f in files])
+    stored = sizes.agg(F.sum("length")).first()[0] or 0
+    return df.repartition(max(2, ceil(stored / TASK_BYTES)), *keys)
+
+
 def write_cells(enriched: DataFrame, path: str, *, whole: bool = False) -> None:
     """Store the cells of these sales by month. Months that are stored already are replaced, so the
     sales must hold whole months; `whole` replaces all of them."""
@@ -82,7 +100,7 @@ def fold(known: DataFrame, as_of: date, months: int = rules.TRAILING_MONTHS) ->
     month = F.struct("year", "month")
     recent = bought & trailing_months(F.col("year"), F.col("month"), as_of, months)
     sums = ("done", "orders", "sales", "cancelled", "high", "priced")
-    by_channel = known.repartition("customer_id").groupBy("customer_id", "channel").agg(
+    by_channel = _spread(known, "customer_id").groupBy("customer_id", "channel").agg(
         *[F.sum(c).alias(c) for c in sums],
         F.sum("revenue").cast(TOTAL).alias("revenue"),
         F.max("largest").alias("largest"),

@@ -148,3 +148,15 @@ def test_the_order_of_sales_and_of_merging_does_not_matter(spark, history):
     whole = rows(cells_of.fold(cells_of.cells(history), AS_OF))
     halves = cells_of.cells(history.filter("sale_id % 2 = 0")).unionByName(cells_of.cells(history.filter("sale_id % 2 = 1")))
     assert rows(cells_of.fold(halves, AS_OF)) == whole
+
+
+def test_tasks_of_the_fold_grow_with_the_stored_bytes(spark, history, monkeypatch):
+    path = scratch_path(spark, "sales of a day")
+    history.repartition(3).write.parquet(path)
+    sales = spark.read.parquet(path)
+    whole = rows(cells_of.customer_base(history, AS_OF))
+    assert rows(cells_of.customer_base(sales, AS_OF)) == whole
+    assert "REPARTITION_BY_NUM" in plan(cells_of.customer_base(sales, AS_OF))
+    monkeypatch.setattr(cells_of, "TASK_BYTES", 100)
+    assert cells_of._spread(sales, "customer_id").rdd.getNumPartitions() > 4
+    assert rows(cells_of.customer_base(sales, AS_OF)) == whole
