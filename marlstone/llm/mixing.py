@@ -8,21 +8,27 @@ word so far was seen, the place in the word and the bit), and a last table refin
 probability by what followed it before. The product over all bits is the probability of the text,
 its logarithm over bytes the bits per byte.
 
-Contexts end at the start of a word, so a word has one probability wherever it stands. The tables
-count every training word as often as it occurs, but each distinct word is worked on once: the
-corpus is reduced to its vocabulary, whose size grows with it. The vocabulary is sorted and cut into
-shelves. Counts of the word so far are exact and as many as the vocabulary has beginnings: a shelf holds
-all words that begin alike, but for the beginnings of its first and last word, whose counts are
-summed over all shelves. Only the low contexts, which bytes bound, are hashed into fixed tables.
-
-Weights and refinement are learned from every training word, weighted by its count and predicted from
+That is the first layer. Its contexts end at the start of a word, so each distinct word is worked on
+once, counted as often as it occurs: the corpus is reduced to its vocabulary, whose size grows with it.
+The vocabulary is sorted and cut into shelves. Counts of the word so far are exact and as many as the
+vocabulary has beginnings: a shelf holds all words that begin alike, but for the beginnings of its first
+and last word, whose counts are summed over all shelves. Only the low contexts, which bytes bound, are
+hashed into fixed tables.
+
+The second layer reads every document in order. It mixes the first layer's logit of each bit with that
+of a context across words, the word before and the word so far, hashed and counted over the training
+documents. Both weights, by place in the word, move down the gradient along the document, and so does a
+table that refines the mixed probability by how often its side was right in this document. They move
+every STRIDE bytes, so that the documents of a block are worked on side by side; each begins anew.
+
+Weights and refinement of the first layer are learned from every training word, weighted by its count and predicted from
 all other words: a fixed number of turns of Newton's method and one pass for the refinement, each a
-sum over all shelves. Documents fetch count and probability of their words in blocks: a block asks
-for each of its words once.
+sum over all shelves. Documents fetch counts and logits of their words in blocks: a block asks for each
+of its words once, and a shelf answers a block in one row.
 
 Defined results: null text is empty and has the end only. Repeated rows and rows without an id are
 scored each for itself; a row without an id is learned from. An empty training set gives every bit
-probability 1/2 before refinement.
+probability 1/2 before refinement. Logits go from layer to layer in one byte each.
 """
 
 from __future__ import annotations
@@ -38,13 +44,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.arrays import GOLDEN, Texts, Words, chunks, mix, run_hashes
+from marlstone.llm.arrays import GOLDEN, Texts, Words, chunks, mix, run_hashes, run_index
 from marlstone.llm.language import remainder
 from marlstone.sources.scratch import written
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Sorted words worked on together.
 SHELF_WORDS, SHELF_BYTES = 8192, 1 << 17
+# Rows of a word and a block that are cut into shelves together.
+_SHELF_ROWS = 1 << 17
 CONTEXTS = 4
 SLOTS_LOG2 = 20
 # Slots of the contexts of one, two and three bytes; behind them are those of the word so far.
@@ -57,6 +65,23 @@ _STEPS = 24
 _LIMIT = 12.0
 _BYTES_AT_ONCE = 1 << 12
 END = b"\n"
+# The second layer: contexts across words, and bytes of a document between two moves of its weights.
+ACROSS_LOG2, ACROSS_PARTS = 15, 64
+STRIDE = 16
+# Weights of both inputs at the start, how fast they move, and steps and inertia of the refinement.
+START = (0.8, 0.4)
+_RATE = 0.01
+_SIDES, _INERTIA = 12, 30.0
+_STREAM_BYTES = 1 << 18
+# Logits on their way are coded by a byte each, in steps of a quarter about 0 and wider ones further off.
+_CODE_STEP = 0.25
+_LOGIT = np.sinh(np.arange(256, dtype=np.uint8).view(np.int8) * _CODE_STEP).clip(-_LIMIT, _LIMIT).astype(np.float32)
+# Node of the tree over bytes that each bit of a byte leaves from, and the bit as a sign.
+_NODE = (1 << np.arange(8)) | (np.arange(256)[:, None] >> (8 - np.arange(8)))
+_NODE = _NODE.astype(np.int32)
+_SIGN = (np.unpackbits(np.arange(256, dtype=np.uint8)).reshape(-1, 8) * 2.0 - 1).astype(np.float32)
+# What stands behind the end of a text has no sign, so that it moves nothing.
+_NODE, _SIGN = np.vstack([_NODE, np.ones((1, 8), np.int32)]), np.vstack([_SIGN, np.zeros((1, 8), np.float32)])
 
 
 class Places:
@@ -78,8 +103,23 @@ class Places:
         self.low = [before[0], mix(two + GOLDEN), mix(two << np.uint64(9) | before[2] | np.uint64(1 << 40))]
         # A context by its 64 bits; it shares its counts with no other.
         self.prefix = run_hashes(self.data, start, here)
-
-    def bits(self, at: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        # Words that begin alike share these bytes: `edge` numbers them, `edges` has the first of each.
+        # Sorted words have them in neighbours; others are only worked on more often.
+        behind = run_hashes(self.data, start, here + 1)
+        above = here - np.repeat(np.concatenate([[0], size[:-1]]), size)
+        inside = (self.word > 0) & (self.place < np.repeat(np.concatenate([[0], size[:-1]]), size))
+        fresh = np.ones(len(here), bool)
+        fresh[inside] = behind[inside] != behind[above[inside]]
+        order = np.argsort(self.place.astype(np.uint16) if size.max(initial=0) < 1 << 16 else self.place, kind="stable")
+        self.edge = np.empty(len(here), np.int64)
+        self.edge[order] = np.cumsum(fresh[order]) - 1
+        self.edges = order[fresh[order]]
+
+    def times(self, times: np.ndarray) -> np.ndarray:
+        """How often each edge occurs."""
+        return np.bincount(self.edge, times[self.word], len(self.edges)).astype(np.int64)
+
+    def bits(self, at: slice | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(slot of each low context, bit, gate, known bits, word) of every bit of some of the bytes."""
         bit = np.unpackbits(self.data[at]).reshape(-1, 8)
         known = np.ones((len(bit), 8), np.int64)
@@ -99,15 +139,20 @@ class Places:
         return np.isin(self.prefix, self.prefix[(self.word == 0) | (self.word == last)])
 
     def so_far(self, times: np.ndarray, prefix: np.ndarray, byte: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """(zeros, ones) x byte x bit: what followed the word so far and the known bits.
+        """(zeros, ones) x byte x bit: what followed the word so far and the known bits."""
+        return self.so_far_of_edges(times, prefix, byte, n)[:, self.edge]
+
+    def so_far_of_edges(self, times: np.ndarray, prefix: np.ndarray, byte: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """(zeros, ones) x edge x bit.
 
         times is how often each word occurs. Behind the beginnings at the ends of the shelf, n times byte
         after prefix counts instead: that is the sum over all shelves.
         """
-        own = np.where(self.ends(), 0, times[self.word])
+        first = self.edges
+        own = np.where(self.ends()[first], 0, self.times(times))
         count = np.concatenate([own, n])
-        node = np.unique(np.concatenate([self.prefix, prefix]), return_inverse=True)[1]
-        edge = node << 8 | np.concatenate([self.data, byte]).astype(np.int64)
+        node = np.unique(np.concatenate([self.prefix[first], prefix]), return_inverse=True)[1]
+        edge = node << 8 | np.concatenate([self.data[first], byte]).astype(np.int64)
         order = np.argsort(edge, kind="stable")
         edge = edge[order]
         total = np.concatenate([[0], np.cumsum(count[order])])
@@ -117,8 +162,8 @@ class Places:
             begin = np.flatnonzero(np.diff(part, prepend=-1))
             stop = np.append(begin[1:], len(part))
             seen[bits, order] = np.repeat(total[stop] - total[begin], stop - begin)
-        seen = seen[:, : len(self.data)]
-        ones = np.unpackbits(self.data).reshape(-1, 8).T == 1
+        seen = seen[:, : len(first)]
+        ones = np.unpackbits(self.data[first]).reshape(-1, 8).T == 1
         same, other = seen[1:], seen[:-1] - seen[1:]
         return np.stack([np.where(ones, other, same).T, np.where(ones, same, other).T]).astype(np.float32)
 
@@ -243,33 +288,35 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             docs.append(words.doc + sum(map(len, size)))
             size.append(np.diff(texts.starts))
         doc, size = np.concatenate(docs), np.concatenate(size)
-        value, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-        names = [names[i] for i in np.unique(np.concatenate(known), return_index=True)[1].tolist()]
+        inverse = np.unique(np.concatenate(hashes), return_inverse=True)[1]
+        names = pa.array([names[i] for i in np.unique(np.concatenate(known), return_index=True)[1].tolist()], pa.binary())
+        # In the order of the shelves, so that a shelf's answers stand together.
+        order = pc.array_sort_indices(names).to_numpy()
+        names = names.take(pa.array(order)).to_pylist()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        inverse = rank[inverse]
         learned = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         # The end is one more word of every row.
         names.append(END)
-        hashes = np.append(value, np.uint64(0)).view(np.int64)
         times = np.bincount(inverse, learned[doc], len(names)).astype(np.int64)
         times[-1] = learned.sum()
-        cell, tf = np.unique(doc * len(names) + inverse, return_counts=True)
-        gap = np.diff(cell, prepend=0)
-        wide = bool(gap.max(initial=0) >= 1 << 32)
-        bag = pack(gap.astype(np.uint64 if wide else np.uint32).tobytes())
+        # The words in order, the end behind each row.
+        seq = np.insert(inverse, np.cumsum(np.bincount(doc, minlength=len(size))), len(names) - 1)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([number]), pa.array([batch.column("id").to_pylist()], pa.list_(pa.int64())),
                 pa.array([(~learned).tolist()], pa.list_(pa.bool_())), pa.array([size.tolist()], pa.list_(pa.int64())),
-                pa.array([wide]), pa.array([bag]), pa.array([pack(tf.astype(np.uint32).tobytes())]),
-                pa.array([hashes.tobytes()]), pa.array([pack(b" ".join(names))]), pa.array([pack(times.tobytes())]),
+                pa.array([pack(seq.astype(np.uint32).tobytes())]),
+                pa.array([pack(b" ".join(names))]), pa.array([pack(times.tobytes())]),
             ],
-            ["block", "ids", "held", "bytes", "wide", "bag", "tf", "hashes", "words", "times"],
+            ["block", "ids", "held", "bytes", "seq", "words", "times"],
         )
         number += 1
 
 
 _BLOCK = (
-    "block long, ids array<long>, held array<boolean>, bytes array<long>, wide boolean, bag binary, tf binary,"
-    " hashes binary, words binary, times binary"
+    "block long, ids array<long>, held array<boolean>, bytes array<long>, seq binary, words binary, times binary"
 )
 
 
@@ -278,51 +325,77 @@ def _unpack(raw: bytes, kind: type) -> np.ndarray:
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every word of every block, with its place there."""
     for batch in batches:
-        for hashes, words, times in zip(*[batch.column(c).to_pylist() for c in ("hashes", "words", "times")], strict=True):
-            names = zstandard.ZstdDecompressor().decompress(words).split(b" ")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(hashes, np.int64)), pa.array(names, pa.binary()), pa.array(_unpack(times, np.int64))], ["hash", "word", "n"]
-            )
-
-
-def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block, hashes in zip(batch.column("block").to_pylist(), batch.column("hashes").to_pylist(), strict=True):
-            own = np.frombuffer(hashes, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own), pa.array(np.full(len(own), block)), pa.array(np.arange(len(own), dtype=np.int32))], ["hash", "block", "at"]
-            )
+        for block, words, times in zip(*[batch.column(c).to_pylist() for c in ("block", "words", "times")], strict=True):
+            names = pa.array(zstandard.ZstdDecompressor().decompress(words).split(b" "), pa.binary())
+            at = pa.array(np.arange(len(names), dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([names, pa.array(_unpack(times, np.int64)), pa.array(np.full(len(names), block)), at], ["word", "n", "block", "at"])
 
 
 def _shelves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted words in packed runs of bounded size."""
+    """Sorted words in packed runs of bounded size, and which block uses which word at which place, block by block.
+
+    A word's rows are neighbours; if they are cut by the end of a batch, they wait for the next.
+    """
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 32
     press = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
-        size = np.cumsum(pc.binary_length(batch.column("word")).to_numpy() + 1)
+
+    def cut(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        nonlocal number
+        word = rows.column("word").combine_chunks()
+        coded = pc.dictionary_encode(word)
+        code, names = coded.indices.to_numpy(), coded.dictionary
+        n = np.bincount(code, rows.column("n").to_numpy(), len(names)).astype(np.int64)
+        block, place = rows.column("block").to_numpy(), rows.column("at").to_numpy()
+        begin = np.searchsorted(code, np.arange(len(names) + 1))
+        size = np.cumsum(pc.binary_length(names).to_numpy() + 1)
         at = 0
-        while at < batch.num_rows:
+        while at < len(names):
             most = np.searchsorted(size, (size[at - 1] if at else 0) + SHELF_BYTES, side="right")
-            piece = batch.slice(at, max(1, min(SHELF_WORDS, int(most) - at)))
-            n = piece.column("n").to_numpy()
+            to = max(at + 1, min(at + SHELF_WORDS, int(most)))
+            uses = slice(begin[at], begin[to])
+            count = n[at:to]
+            order = np.argsort(block[uses], kind="stable")
+            used = [press(np.diff(x[uses][order], prepend=0).astype(kind).tobytes()) for x, kind in ((code - at, np.int32), (block, np.int64), (place, np.int32))]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([number]), pa.array([n.sum()]), pa.array([np.count_nonzero(n)]), pa.array([press(n.tobytes())]),
-                    pa.array([piece.column("hash").to_numpy().tobytes()]), pa.array([press(b" ".join(piece.column("word").to_pylist()))]),
+                    pa.array([number]), pa.array([count.sum()]), pa.array([np.count_nonzero(count)]), pa.array([press(count.tobytes())]),
+                    pa.array([press(b" ".join(names.slice(at, to - at).to_pylist()))]), *[pa.array([x]) for x in used],
                 ],
-                ["shelf", "tokens", "distinct", "n", "hashes", "words"],
+                ["shelf", "tokens", "distinct", "n", "words", "uses", "blocks", "ats"],
             )
             number += 1
-            at += piece.num_rows
+            at = to
+
+    waiting: list[pa.RecordBatch] = []
+    held = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        waiting.append(batch)
+        held += batch.num_rows
+        if held < _SHELF_ROWS:
+            continue
+        rows = pa.Table.from_batches(waiting)
+        word = rows.column("word").combine_chunks()
+        last = pc.equal(word, word[-1])
+        keep = int(pc.index(last, True).as_py())
+        if keep:
+            yield from cut(rows.slice(0, keep))
+        waiting = rows.slice(keep).combine_chunks().to_batches()
+        held = sum(b.num_rows for b in waiting)
+    if waiting:
+        yield from cut(pa.Table.from_batches(waiting))
 
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Places, np.ndarray]]:
     """(row, places, how often each word occurs) of every shelf."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for number in range(batch.num_rows):
+            row = batch.slice(number, 1).to_pylist()[0]
             words = zstandard.ZstdDecompressor().decompress(row["words"]).split(b" ")
             yield row, Places(words), _unpack(row["n"], np.int64)
 
@@ -341,29 +414,30 @@ def _count_low(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((2, LOW))
     flat = total.reshape(-1)
     for _, places, times in _opened(batches):
+        n = places.times(times).astype(float)
         for at in _cuts(places):
-            slots, bit, _, _, word = places.bits(at)
-            n = times[word].astype(float)
+            slots, bit, *_ = places.bits(places.edges[at])
             for own in slots:
-                np.add.at(flat, own + bit * np.int64(LOW), n)
+                np.add.at(flat, own + bit * np.int64(LOW), np.repeat(n[at], 8))
     at = np.flatnonzero(total.any(0))
     yield pa.RecordBatch.from_pydict({"slot": at, "zeros": total[0][at], "ones": total[1][at]})
 
 
-def _cuts(places: Places) -> Iterator[slice]:
-    return (slice(at, at + _BYTES_AT_ONCE) for at in range(0, len(places.data), _BYTES_AT_ONCE))
+def _cuts(places: Places) -> Iterator[slice]:  # of its edges
+    return (slice(at, at + _BYTES_AT_ONCE) for at in range(0, len(places.edges), _BYTES_AT_ONCE))
 
 
 def _exact(row: dict, places: Places, times: np.ndarray, mixer: Mixer) -> Iterator[tuple[Mixer, tuple[np.ndarray, ...]]]:
-    """Bits of a shelf, with a mixer that has the counts of each bit's own beginning."""
+    """Bits of the edges of a shelf, with a mixer that has the counts of each bit's own beginning, and their edges."""
     shared = row["shared"] or []
     prefix = np.array([s["prefix"] for s in shared], np.int64).view(np.uint64)
     byte, n = (np.array([s[c] for s in shared], np.int64) for c in ("byte", "n"))
-    own = places.so_far(times, prefix, byte, n)
+    own = places.so_far_of_edges(times, prefix, byte, n)
     for at in _cuts(places):
-        slots, *rest = places.bits(at)
+        slots, bit, gate, known, _ = places.bits(places.edges[at])
         now = own[:, at].reshape(2, -1)
-        yield replace(mixer, own=now), (np.vstack([slots, LOW + np.arange(now.shape[1])]), *rest)
+        edge = np.repeat(np.arange(at.start, at.start + now.shape[1] // 8), 8)
+        yield replace(mixer, own=now), (np.vstack([slots, LOW + np.arange(now.shape[1])]), bit, gate, known, edge)
 
 
 class _Sent:
@@ -387,11 +461,12 @@ def _summed(shelves: DataFrame, sent: _Sent, of: Callable[..., np.ndarray], size
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for row, places, times in _opened(batches):
+            n = places.times(times)
             for mixer, bits in _exact(row, places, times, sent.value):
-                slots, bit, gate, known, word = bits
-                used = np.flatnonzero(times[word])
+                slots, bit, gate, known, edge = bits
+                used = np.flatnonzero(n[edge])
                 if len(used):
-                    total += of(mixer, slots[:, used], bit[used], gate[used], known[used], times[word][used]).ravel()
+                    total += of(mixer, slots[:, used], bit[used], gate[used], known[used], n[edge[used]]).ravel()
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"at": at, "value": total[at]})
 
@@ -401,25 +476,166 @@ def _summed(shelves: DataFrame, sent: _Sent, of: Callable[..., np.ndarray], size
     return out
 
 
-def score(docs: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
-    """(key, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) per row."""
+class Stream:
+    """The words of a block in order, the end behind each row."""
+
+    def __init__(self, row: dict):
+        self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["words"]), np.uint8)
+        # Every word but the last, the end, is followed by a space.
+        space = np.flatnonzero(self.data == 32)
+        self.start = np.concatenate([[0], space + 1])
+        self.size = np.diff(np.append(self.start, len(self.data)))
+        self.hash = run_hashes(self.data, self.start, self.start + np.maximum(self.size - 1, 1))
+        self.prefix = run_hashes(self.data, np.repeat(self.start, self.size), np.arange(len(self.data)))
+        self.seq = _unpack(row["seq"], np.uint32).astype(np.int32)
+        # Number of the first word of each row, and the end.
+        self.first = np.concatenate([[0], np.flatnonzero(self.seq == len(self.size) - 1) + 1])
+        total = np.concatenate([[0], np.cumsum(self.size[self.seq])])
+        self.length = np.diff(total[self.first])
+
+    def pieces(self, rows: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, place in the row, place in `data`, context across words) of every byte, some words at a time."""
+        before = np.zeros(len(self.seq), np.uint64)
+        before[1:] = self.hash[self.seq[:-1]]
+        before[self.first[:-1]] = 0
+        row = np.repeat(np.arange(len(self.length), dtype=np.int32), np.diff(self.first))
+        size = self.size[self.seq]
+        begin = np.cumsum(size) - size
+        begin -= np.repeat(begin[self.first[:-1]], np.diff(self.first))
+        take = np.arange(len(size)) if rows is None else np.flatnonzero(rows[row])
+        done = np.cumsum(size[take])
+        for words in np.split(take, np.searchsorted(done, np.arange(_STREAM_BYTES, int(done[-1]) if len(done) else 0, _STREAM_BYTES))):
+            n = size[words]
+            place = run_index(n)
+            at = np.repeat(self.start[self.seq[words]], n) + place
+            slot = mix(np.repeat(mix(before[words] + GOLDEN), n) + self.prefix[at]) >> np.uint64(64 - ACROSS_LOG2)
+            yield np.repeat(row[words], n), np.repeat(begin[words], n) + place, at, slot.astype(np.uint16)
+
+
+def _count_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each byte followed each context across words, in packed parts."""
+    total = np.zeros(1 << ACROSS_LOG2 + 8, np.uint32)
+    for batch in batches:
+        for number in range(batch.num_rows):
+            row = batch.slice(number, 1).to_pylist()[0]
+            stream = Stream(row)
+            for _, _, at, slot in stream.pieces(~np.array(row["held"], bool)):
+                np.add.at(total, slot.astype(np.int64) << 8 | stream.data[at], np.uint32(1))
+    press = zstandard.ZstdCompressor(level=1).compress
+    for part, own in enumerate(total.reshape(ACROSS_PARTS, -1)):
+        if own.any():
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "counts": [press(own.tobytes())]})
+
+
+def _across_logits(parts: pa.Table) -> pa.Table:
+    """Coded logits of a part, context by context and node by node."""
+    total = sum(_unpack(own, np.uint32).astype(np.float32) for own in parts.column("counts").to_pylist()).reshape(-1, 256)
+    out = np.zeros(total.shape, np.int8)
+    for bit in range(7, -1, -1):
+        # `total` counts the nodes below the next bit.
+        zeros, ones = total[:, ::2], total[:, 1::2]
+        logit = np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
+        out[:, 1 << bit : 2 << bit] = _coded(logit)
+        total = zeros + ones
+    return pa.table({"part": pa.array([parts.column("part")[0].as_py()], pa.int32()), "logits": [out.tobytes()]})
+
+
+def _coded(logit: np.ndarray) -> np.ndarray:
+    """Codes of logits; `_LOGIT` has the logit of each code."""
+    return np.rint(np.arcsinh(np.clip(logit, -_LIMIT, _LIMIT)) / _CODE_STEP).astype(np.int8)
+
+
+def along(stream: Stream, words: np.ndarray, across: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the probability of each row, read in order.
+
+    `words` holds the coded logits, eight in a number, that the first layer gives the bits of `stream.data` in favour
+    of what stands there; `across` those of a one, by context across words and node.
+    """
+    rows = len(stream.length)
+    order = np.argsort(-stream.length, kind="stable")
+    rank = np.empty(rows, np.int64)
+    rank[order] = np.arange(rows)
+    strides = -(-stream.length[order] // STRIDE)
+    # Rows that are not at their end yet, at each stride, and where the stride begins.
+    active = rows - np.searchsorted(strides[::-1], np.arange(strides.max(initial=0)), side="right")
+    offset = np.concatenate([[0], np.cumsum(active * STRIDE)])
+    # Behind the end of a row stands one more byte, of code 256 and logits 0.
+    source, context = np.full(offset[-1], len(stream.data), np.int32), np.zeros(offset[-1], np.uint16)
+    for row, place, at, slot in stream.pieces():
+        to = offset[place // STRIDE] + rank[row] * STRIDE + place % STRIDE
+        source[to], context[to] = at, slot
+    byte = np.append(stream.data, np.uint16(256)).astype(np.uint16)
+    gate = np.minimum(np.append(run_index(stream.size), 0), PLACES - 1).astype(np.int32)
+    given = np.append(words, np.uint64(0))
+
+    weight = np.tile(np.array(START, np.float32), (rows * PLACES, 1))
+    # The refinement: how often the side of the logit was right, by its size; of size 0 there is no side.
+    middle = _squash(np.arange(1, _SIDES + 1.0))
+    right, seen = np.zeros((rows, _SIDES)), np.zeros((rows, _SIDES))
+    kinds = 2 * _SIDES + 1
+    shift = np.zeros((rows, kinds), np.float32)
+    own = np.repeat(np.arange(rows, dtype=np.int32), STRIDE)
+    total = np.zeros(rows)
+    for stride, n in enumerate(active.tolist()):
+        at = slice(offset[stride], offset[stride + 1])
+        here = own[: n * STRIDE]
+        place = source[at]
+        b = byte[place]
+        one = _LOGIT.take(given[place].view(np.uint8).reshape(-1, 8))
+        node = _NODE[b]
+        node += (context[at].astype(np.int32) << 8)[:, None]
+        two = _LOGIT.take(across.take(node).view(np.uint8))
+        two *= _SIGN[b]
+        key = here * PLACES + gate[place]
+        w = weight[key]
+        logit = one * w[:, :1]
+        logit += two * w[:, 1:]
+        np.clip(logit, -_LIMIT, _LIMIT, out=logit)
+        kind = np.rint(logit).astype(np.int32)
+        kind += (here * kinds + _SIDES)[:, None]
+        np.negative(logit, out=logit)
+        np.exp(logit, out=logit)
+        logit += 1
+        p = np.reciprocal(logit, out=logit)
+        mixed = shift.ravel().take(kind)
+        mixed += p
+        # Four bits together are far from the least float.
+        half = mixed[:, :4] * mixed[:, 4:]
+        total[:n] += np.log(half[:, :2] * half[:, 2:]).reshape(n, -1).sum(1, dtype=np.float64)
+        error = np.subtract(1, p, out=p)
+        for number, x in enumerate((one, two)):
+            weight[: n * PLACES, number] += _RATE * np.bincount(key, np.einsum("ib,ib->i", error, x), n * PLACES)
+        found = np.bincount(kind.ravel(), minlength=n * kinds).reshape(n, kinds)
+        right[:n] += found[:, _SIDES + 1 :]
+        seen[:n] += found[:, _SIDES + 1 :] + found[:, _SIDES - 1 :: -1]
+        side = ((right[:n] + _INERTIA * middle) / (seen[:n] + _INERTIA) - middle) / 2
+        shift[:n, _SIDES + 1 :], shift[:n, _SIDES - 1 :: -1] = side, -side
+    out = np.empty(rows)
+    out[order] = total - np.log(0.5) * 8 * (strides * STRIDE - stream.length[order])
+    return out
+
+
+def score_in_order(docs: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
+    """(key, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte, word_score) per row.
+
+    `word_score` is the first layer's alone, which does not depend on the order of words.
+    """
     given = docs.select(
         F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out")
     )
     blocks = written(given.mapInArrow(_blocks, _BLOCK), "blocks")
-    listed = blocks.select("hashes", "words", "times").mapInArrow(_vocabulary, "hash long, word binary, n long")
-    vocabulary = listed.groupBy("hash", "word").agg(F.sum("n").alias("n"))
+    listed = blocks.select("block", "words", "times").mapInArrow(_vocabulary, "word binary, n long, block long, at int")
     # Words that begin alike are neighbours; only beginnings of a shelf's first and last word go on in others.
-    shelf = "shelf long, tokens long, distinct long, n binary, hashes binary, words binary"
-    shelves = written(vocabulary.repartitionByRange("word").sortWithinPartitions("word").mapInArrow(_shelves, shelf), "shelves")
+    shelf = "shelf long, tokens long, distinct long, n binary, words binary, uses binary, blocks binary, ats binary"
+    shelves = written(listed.repartitionByRange("word").sortWithinPartitions("word").mapInArrow(_shelves, shelf), "shelves")
     tokens, distinct = shelves.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     parts = written(shelves.select("shelf", "words", "n").mapInArrow(_beginnings, "shelf long, prefix long, byte int, n long"), "beginnings")
     whole = parts.groupBy("prefix", "byte").agg(F.sum("n").alias("n")).filter("n > 0")
     shared = parts.select("shelf", "prefix").distinct().join(whole, "prefix")
     shared = shared.groupBy("shelf").agg(F.collect_list(F.struct("prefix", "byte", "n")).alias("shared"))
-    shelves = written(shelves.select("shelf", "n", "hashes", "words").join(shared, "shelf", "left"), "shelves")
+    shelves = written(shelves.select("shelf", "n", "words", "uses", "blocks", "ats").join(shared, "shelf", "left"), "shelves")
 
-    # Tables of fixed size: the low contexts, weights and refinement.
+    # Tables of fixed size: the low contexts, weights and refinement, and the contexts across words.
     sums = shelves.select("words", "n").mapInArrow(_count_low, "slot long, zeros double, ones double").groupBy("slot")
     table = sums.agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toArrow()
     counts = np.zeros((2, LOW), np.float32)
@@ -434,57 +650,86 @@ def score(docs: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
         mixer = mixer.moved(slopes.reshape(-1, GATES), start.weight)
     mixer = mixer.refined_by(_summed(trained, _Sent(low, mixer), Mixer.followed, 2 * mixer.refined.size))
     sent = _Sent(low, mixer)
+    followed = blocks.select("held", "seq", "words").mapInArrow(_count_across, "part int, counts binary")
+    followed = followed.groupBy("part").applyInArrow(_across_logits, "part int, logits binary").toArrow()
+    across = np.zeros((ACROSS_PARTS, 1 << ACROSS_LOG2 + 8 >> ACROSS_PARTS.bit_length() - 1), np.int8)
+    for part, logits in zip(*[followed.column(c).to_pylist() for c in ("part", "logits")], strict=True):
+        across[part] = np.frombuffer(logits, np.int8)
+    across = share(across.ravel())
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1).compress
         for row, places, times in _opened(batches):
-            value = np.zeros(len(times))
-            for own, (slots, bit, gate, known, word) in _exact(row, places, times, sent.value):
+            value, logits = [], []
+            for own, (slots, bit, gate, known, _) in _exact(row, places, times, sent.value):
                 one = own.probability(slots, gate, known)
-                value += np.bincount(word, np.log10(np.where(bit == 1, one, 1 - one)), len(value))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(row["hashes"], np.int64)), pa.array(times), pa.array(value.astype(np.float32))], ["hash", "n", "value"]
-            )
-
-    rated = shelves.mapInArrow(rate, "hash long, n long, value float")
-    replies = blocks.select("block", "hashes").mapInArrow(_requests, "hash long, block long, at int")
-    replies = replies.join(rated, "hash").select("block", "at", "n", "value")
+                one = np.where(bit == 1, one, 1 - one)
+                value.append(np.log10(one).reshape(-1, 8).sum(1))
+                logits.append(_coded(np.log(one / (1 - one))))
+            value = np.bincount(places.word, np.concatenate(value)[places.edge], len(times))
+            logits = np.concatenate(logits).view(np.uint64)[places.edge]
+            size = np.bincount(places.word, minlength=len(times))
+            start = np.cumsum(size) - size
+            used, at = (np.cumsum(_unpack(row[c], np.int32)) for c in ("uses", "ats"))
+            block = np.cumsum(_unpack(row["blocks"], np.int64))
+            begin = np.flatnonzero(np.diff(block, prepend=-1))
+            for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(block)], strict=True):
+                own = used[a:b]
+                n = size[own]
+                bits = logits[np.repeat(start[own], n) + run_index(n)]
+                reply = [pa.array([int(block[a])]), *[pa.array([press(x.tobytes())]) for x in (np.diff(at[a:b], prepend=0).astype(np.int32), times[own], value[own].astype(np.float32), bits)]]
+                yield pa.RecordBatch.from_arrays(reply, ["block", "at", "n", "value", "bits"])
+
+    replies = shelves.mapInArrow(rate, "block long, at binary, n binary, value binary, bits binary")
     spread = float(np.log10(tokens + distinct + 1))
 
     def gather(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        at = right.column("at").to_numpy()
-        n, value = np.zeros(len(at) + 1, np.int64), np.zeros(len(at) + 1)
-        n[at], value[at] = right.column("n").to_numpy(), right.column("value").to_numpy()
         for row in left.to_pylist():
-            size, rows = len(row["hashes"]) // 8, len(row["ids"])
-            cell = np.cumsum(_unpack(row["bag"], np.uint64 if row["wide"] else np.uint32).astype(np.int64))
-            doc, word, tf = cell // size, cell % size, _unpack(row["tf"], np.uint32)
-            base = np.log10(n + 1.0) - spread
-
-            def total(of: np.ndarray, last: float, doc=doc, word=word, tf=tf, rows=rows) -> np.ndarray:
-                return np.bincount(doc, of[word] * tf, rows) + last
-
-            end = size - 1
+            stream = Stream(row)
+            words = len(stream.size)
+            n, value, logits = np.zeros(words, np.int64), np.zeros(words), np.zeros(len(stream.data), np.uint64)
+            for reply in zip(*[right.column(c).to_pylist() for c in ("at", "n", "value", "bits")], strict=True):
+                at, own_n, own_value, bits = (_unpack(raw, kind) for raw, kind in zip(reply, (np.int32, np.int64, np.float32, np.uint64), strict=True))
+                at = np.cumsum(at)
+                n[at], value[at] = own_n, own_value
+                logits[np.repeat(stream.start[at], stream.size[at]) + run_index(stream.size[at])] = bits
+
+            def total(of: np.ndarray, stream=stream) -> np.ndarray:
+                return np.add.reduceat(of[stream.seq], stream.first[:-1])
+
+            score = along(stream, logits, across.value) / np.log(10)
             out.append(
                 pa.table(
                     {
                         key: pa.array(row["ids"], pa.int64()),
                         "held_out": pa.array(row["held"], pa.bool_()),
-                        "n_tokens": total(np.ones(len(n)), 1).astype(np.int64),
-                        "n_known": total((n > 0).astype(float), float(n[end] > 0)).astype(np.int64),
-                        "train_tokens": np.full(rows, tokens, np.int64),
-                        "base_score": total(base, base[end]),
-                        "score": total(value, value[end]),
-                        "bits_per_byte": -total(value, value[end]) / np.log10(2) / (np.array(row["bytes"]) + 1),
+                        "n_tokens": np.diff(stream.first).astype(np.int64),
+                        "n_known": total((n > 0).astype(np.int64)),
+                        "train_tokens": np.full(len(score), tokens, np.int64),
+                        "base_score": total(np.log10(n + 1.0) - spread),
+                        "score": score,
+                        "bits_per_byte": -score / np.log10(2) / (np.array(row["bytes"]) + 1),
+                        "word_score": total(value),
                     }
                 )
             )
         return pa.concat_tables(out)
 
-    held = blocks.select("block", "ids", "held", "bytes", "wide", "bag", "tf", "hashes")
-    out = f"{key} long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
+    held = blocks.select("block", "ids", "held", "bytes", "seq", "words")
+    out = (
+        f"{key} long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double,"
+        " bits_per_byte double, word_score double"
+    )
     return held.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(gather, out)
 
 
+def score(docs: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
+    """Like `score_in_order`, by the first layer alone: a text is the sum of its words, in whatever order."""
+    per_byte = F.col("bits_per_byte") * F.col("word_score") / F.col("score")
+    rated = score_in_order(docs, key, text, held_out).withColumn("bits_per_byte", per_byte)
+    return rated.withColumn("score", F.col("word_score")).drop("word_score")
+
+
 def op9(spark, sf_dir: str) -> DataFrame:
-    return score(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text", remainder("doc_id", 7) == 2)
+    return score_in_order(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text", remainder("doc_id", 7) == 2)
