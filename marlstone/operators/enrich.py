@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.operators.joins import frequent_keys, salted_left_join
+from marlstone.operators.sizing import hashed_if_large
 from marlstone.operators.validity import with_high_value_flag
 
 
@@ -58,8 +59,8 @@ def enrich(
 
     Sales whose key is in no dimension keep NULLs. Leave out a dimension whose columns the next
     step does not use: nothing tells Spark that a dimension has one row per key, so it cannot drop
-    the join by itself. No join strategy is forced: a dimension that is small enough is broadcast
-    by its size, any other is shuffled and adaptive execution splits hot keys. Name keys in `salt`
+    the join by itself. A dimension that is small enough is broadcast by its size, any other is
+    shuffled and hashed, and adaptive execution splits hot keys. Name keys in `salt`
     (customer_id, say) to split their hot keys up front instead, which costs one more pass over those
     columns, however many, at once. `processed_at` adds the audit timestamp.
     """
@@ -75,7 +76,7 @@ def enrich(
             spread_by = F.struct("sale_id", "sale_date")
             df = salted_left_join(df, looked_up, dimension.key, hot[dimension.key], spread_by=spread_by)
         else:
-            df = df.join(looked_up, dimension.key, "left")
+            df = df.join(hashed_if_large(looked_up), dimension.key, "left")
     df = df.select(*[c for c in ENRICHED if c in df.columns])
     if processed_at is not None:
         df = df.withColumn("_silver_processed_at", F.lit(processed_at))

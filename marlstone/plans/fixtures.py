@@ -15,6 +15,7 @@ from marlstone import rules
 from marlstone.functions.numbers import MONEY
 from marlstone.operators import staging
 from marlstone.operators.enrich import enrich
+from marlstone.operators.sizing import hashed_if_large, spread_pair
 from marlstone.operators.validity import valid_sales
 
 AS_OF = date(2001, 8, 1)
@@ -55,15 +56,15 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     is asked for because orders grow with lines; sizes estimated through two joins mislead here.
     """
     orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customers = hashed_if_large(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
         nations, F.col("c_nationkey") == F.col("n_nationkey")
     )
-    lines = table(spark, sf_dir, "lineitem").hint("merge")
+    lines, placed = spread_pair(table(spark, sf_dir, "lineitem"), "l_orderkey", placed, "o_orderkey")
     price = F.col("l_extendedprice").cast(MONEY)
     discount = F.col("l_discount").cast("decimal(5,4)")
-    return lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return lines.hint("merge").join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("sale_id"),
         F.col("o_orderdate").cast("date").alias("sale_date"),
         F.year("o_orderdate").alias("year"),

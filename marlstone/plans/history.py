@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 from math import ceil
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +17,13 @@ from pyspark.sql import functions as F
 from marlstone import rules
 from marlstone.functions.calendar import days_since, known_by, trailing_months
 from marlstone.functions.numbers import TOTAL, mean_of_total, ratio
+from marlstone.operators.sizing import TASK_BYTES, stored_bytes
 from marlstone.sources.writers import write_parquet
 
 CELL = ("customer_id", "year", "month", "channel", "category", "segment", "state")
 # The month by which a cell is stored, as yyyy-MM of the day of sale; sales without a day are known
 # at all times, so they are stored before all months.
 SOLD_IN, UNDATED = "sold_in", "0000-00"
-# Stored bytes of the tables per task that sums cells or customers.
-TASK_BYTES = 8 << 20
 
 
 def cells(enriched: DataFrame, *stored_by: str) -> DataFrame:
@@ -50,15 +48,10 @@ def cells(enriched: DataFrame, *stored_by: str) -> DataFrame:
 def _spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows by their keys over as many tasks as the stored bytes they are read from ask for.
 
-    Left to itself, adaptive execution sizes tasks by compressed bytes, and wide rows that compress
-    well fill gigabytes of a task's memory. Rows that come from no file are left to it.
+    Rows that come from no file are left to adaptive execution.
     """
-    files = df.inputFiles()
-    if not files:
-        return df.repartition(*keys)
-    sizes = df.sparkSession.read.format("binaryFile").load([unquote(f) for f in files])
-    stored = sizes.agg(F.sum("length")).first()[0] or 0
-    return df.repartition(max(2, ceil(stored / TASK_BYTES)), *keys)
+    stored = stored_bytes(df)
+    return df.repartition(max(2, ceil(stored / TASK_BYTES)), *keys) if stored else df.repartition(*keys)
 
 
 def write_cells(enriched: DataFrame, path: str, *, whole: bool = False) -> None:
