@@ -166,6 +166,28 @@ def test_search_equals_brute_force(spark):
     assert search.top_k(frame.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_search_lets_every_row_ask(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    n = 10_000
+    whole = rng.integers(-128, 128, (n, 64))
+    whole[100:1000] = whole[100]
+    ids = np.r_[np.arange(n - 1), 100]
+    frame = spark.createDataFrame(pa.table({"vec_id": ids, "embedding": pa.array((whole / 256).tolist(), pa.list_(pa.float32()))}))
+    score = whole.astype(float) @ whole.T
+    score[ids[:, None] == ids[None]] = -np.inf
+    order = np.lexsort((np.broadcast_to(ids, score.shape), -score))[:, :3]
+    expected = {}
+    for i, row in enumerate(order):
+        expected.setdefault(int(ids[i]), set()).update((-int(score[i, j]), int(ids[j])) for j in row)
+    expected = {i: sorted(found)[:3] for i, found in expected.items()}
+    for group in (search.QUERY_GROUP, 4000):
+        monkeypatch.setattr(search, "QUERY_GROUP", group)
+        got = {}
+        for r in search.top_k(frame, F.lit(True), 3).collect():
+            got.setdefault(r.query_id, {})[r.rank] = (-r.score, r.vec_id)
+        assert {i: [found[rank] for rank in (1, 2, 3)] for i, found in got.items()} == expected
+
+
 def test_private_data_forms_contexts_and_redaction(spark):
     seeds = [(i, f"please call +1 555 123 45{i:02d} now") for i in range(20)]
     rows = [*seeds, (50, "please call 0171-99 now"), (51, None), (52, "a@b.c, 1.2.3.4 and 4111 1111 1111 1111")]
