@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame
 TASK_BYTES = 8 << 20
 # Stored bytes from which a looked-up table is hashed by its key instead of sorted with the rows.
 HASHED_BYTES = 1 << 20
+# Stored bytes that are joined and written in one go, since their shuffles take several times as much disk. Every
+# round reads the tables; beyond three, summing what was written takes more disk than a round.
+ROUND_BYTES, MOST_ROUNDS = 1 << 28, 3
 
 
 def stored_bytes(df: DataFrame) -> int:
@@ -27,6 +30,11 @@ def stored_bytes(df: DataFrame) -> int:
     return sizes.agg({"length": "sum"}).first()[0] or 0
 
 
+def rounds(df: DataFrame) -> int:
+    """In how many shares to write joined rows, so that only the shuffles of one share are on the disks at a time."""
+    return min(MOST_ROUNDS, max(1, ceil(stored_bytes(df) / ROUND_BYTES)))
+
+
 def spread_pair(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> tuple[DataFrame, DataFrame]:
     """Two tables about to be merged by a key that no few values of own, over as many tasks as their bytes ask for.
 

@@ -24,23 +24,43 @@ CELL = ("customer_id", "year", "month", "channel", "category", "segment", "state
 # The month by which a cell is stored, as yyyy-MM of the day of sale; sales without a day are known
 # at all times, so they are stored before all months.
 SOLD_IN, UNDATED = "sold_in", "0000-00"
+# What cells are made of.
+SALE = ("sale_id", "sale_date", *CELL, "status", "total_value", "is_high_value")
+# Sales that one task sums to the cells of a month.
+TASK_SALES = 1 << 18
 
 
-def cells(enriched: DataFrame, *stored_by: str) -> DataFrame:
+def cells(enriched: DataFrame) -> DataFrame:
     """One row per cell. Sales are spread by cell first, so that many sales of one customer share out."""
-    done = F.col("status") == rules.COMPLETED
-    value = F.when(done, F.col("total_value"))
-    return _spread(enriched, *CELL, *stored_by).groupBy(*CELL, *stored_by).agg(
-        F.count_if(done).alias("done"),
-        F.count(F.when(done, F.col("sale_id"))).alias("orders"),
-        F.count("sale_id").alias("sales"),
-        F.count_if(F.col("status") == rules.CANCELLED).alias("cancelled"),
-        F.count_if(done & F.col("is_high_value")).alias("high"),
-        F.sum(value).cast(TOTAL).alias("revenue"),
-        F.count(value).alias("priced"),
-        F.max(value).alias("largest"),
-        F.min(value).alias("smallest"),
-        F.max(F.when(done, F.col("sale_date"))).alias("last_purchase"),
+    return _summed(_spread(_measured(enriched), *CELL), *CELL)
+
+
+def _measured(enriched: DataFrame) -> DataFrame:
+    """What cells sum of a sale, in few bytes since all sales are shuffled."""
+    done = F.coalesce(F.col("status") == rules.COMPLETED, F.lit(False))
+    return enriched.select(
+        *CELL,
+        "sale_date",
+        F.when(done, F.col("total_value")).alias("value"),
+        done.alias("done"),
+        F.coalesce(F.col("status") == rules.CANCELLED, F.lit(False)).alias("cancelled"),
+        F.coalesce(done & F.col("is_high_value"), F.lit(False)).alias("high"),
+        F.col("sale_id").isNotNull().alias("known"),
+    )
+
+
+def _summed(measured: DataFrame, *keys: str) -> DataFrame:
+    return measured.groupBy(*keys).agg(
+        F.count_if("done").alias("done"),
+        F.count_if(F.col("done") & F.col("known")).alias("orders"),
+        F.count_if("known").alias("sales"),
+        F.count_if("cancelled").alias("cancelled"),
+        F.count_if("high").alias("high"),
+        F.sum("value").cast(TOTAL).alias("revenue"),
+        F.count("value").alias("priced"),
+        F.max("value").alias("largest"),
+        F.min("value").alias("smallest"),
+        F.max(F.when(F.col("done"), F.col("sale_date"))).alias("last_purchase"),
         F.max("sale_date").alias("last_sale"),
     )
 
@@ -56,9 +76,34 @@ def _spread(df: DataFrame, *keys: str) -> DataFrame:
 
 def write_cells(enriched: DataFrame, path: str, *, whole: bool = False) -> None:
     """Store the cells of these sales by month. Months that are stored already are replaced, so the
-    sales must hold whole months; `whole` replaces all of them."""
+    sales must hold whole months; `whole` replaces all of them.
+
+    The sales are counted by month first. Each month is then summed and written by as many tasks as its
+    sales ask for, small ones share a task, and cells are not shuffled again to be written.
+    """
     sold_in = F.coalesce(F.date_format("sale_date", "yyyy-MM"), F.lit(UNDATED))
-    write_parquet(cells(enriched.withColumn(SOLD_IN, sold_in), SOLD_IN), path, (SOLD_IN,), whole=whole)
+    # As many rows as there are months.
+    counted = enriched.groupBy(sold_in.alias(SOLD_IN)).agg(F.count(F.lit(1)).alias("sales")).collect()
+    dealt, tasks = _dealt({month: sales for month, sales in sorted(counted)})
+    months = enriched.sparkSession.createDataFrame(dealt, f"{SOLD_IN} string, _first int, _tasks int")
+    dated = _measured(enriched).withColumn(SOLD_IN, sold_in).join(F.broadcast(months), SOLD_IN, "left")
+    task = F.col("_first") + F.pmod(F.xxhash64(*CELL), F.col("_tasks"))
+    spread = dated.withColumn("_task", F.coalesce(task, F.lit(0)).cast("int")).drop("_first", "_tasks", SOLD_IN)
+    spread = spread.repartitionById(tasks, "_task").withColumn(SOLD_IN, sold_in)
+    summed = _summed(spread, *CELL, SOLD_IN, "_task").drop("_task")
+    write_parquet(summed, path, (SOLD_IN,), whole=whole, gather=False)
+
+
+def _dealt(sales: dict[str, int]) -> tuple[list[tuple[str, int, int]], int]:
+    """(month, its first task, its tasks) of each month, and the tasks of all."""
+    dealt, task, filled = [], 0, 0
+    for month, rows in sales.items():
+        if filled and filled + rows > TASK_SALES:
+            task, filled = task + 1, 0
+        own = ceil(rows / TASK_SALES)
+        dealt.append((month, task, own))
+        task, filled = (task + own, 0) if own > 1 else (task, filled + rows)
+    return dealt, task + 1
 
 
 def cells_as_of(spark: SparkSession, path: str, enriched: DataFrame, as_of: date) -> DataFrame:

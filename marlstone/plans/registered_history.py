@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.operators.sizing import rounds
 from marlstone.plans import features, fixtures, history
 from marlstone.plans.oracle_ctes import with_ctes
 from marlstone.plans.registry import register
@@ -37,8 +38,8 @@ def _as_of_sql(day: date) -> str:
 )
 def customer_features_backfill(spark, sf_dir):
     """Features as of two past days, from cells that were stored once."""
-    enriched = fixtures.enriched_sales(spark, sf_dir, ("customers", "products"))
-    sales = written(enriched, "enriched-sales")
+    enriched = fixtures.enriched_sales(spark, sf_dir, ("customers", "products")).select(*history.SALE)
+    sales = written(enriched, "enriched-sales", rounds=rounds(enriched), dealt_by="sale_id")
     path = scratch_path(spark, "cells")
     history.write_cells(sales, path)
 

@@ -8,6 +8,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+from marlstone.sources.scratch import shuffles_removed
+
 _log = logging.getLogger(__name__)
 
 
@@ -39,7 +41,8 @@ def write_parquet(
     if partition_by:
         mode = "static" if whole else "dynamic"
         writer = writer.option("partitionOverwriteMode", mode).partitionBy(*partition_by)
-    writer.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        writer.parquet(path)
 
 
 def csv_to_parquet(
